@@ -15,9 +15,9 @@ RFC3339_PATTERN = (
 
 
 def is_rfc3339_sql(text: str) -> str:
-    """True for a well-formed time that exists in the calendar."""
+    """True for no time, or a well-formed one that exists in the calendar."""
     return (
-        f"({text} rlike '{RFC3339_PATTERN}' and not endswith({text}, '\\n')"
+        f"({text} is null or {text} rlike '{RFC3339_PATTERN}' and not endswith({text}, '\\n')"
         f" and try_cast({text} as timestamp) is not null)"
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.functions.strict_json import parse_whole
+from gridloom.functions.text import empty_if_null
 from gridloom.functions.times import millis_between
 from gridloom.operators.ordering import exact_percentiles
 from gridloom.schemas import VERIFY_PAYLOAD, VERIFY_RECORD
@@ -36,8 +37,8 @@ def verify_records(records: DataFrame, received_at: Column | None = None) -> Dat
         read_back(records)
         .where(body.isNotNull())
         .select(
-            body["client_message_id"].alias("client_message_id"),
-            body["device_eui"].alias("device_eui"),
+            empty_if_null(body["client_message_id"]).alias("client_message_id"),
+            empty_if_null(body["device_eui"]).alias("device_eui"),
             "topic_source",
             sent.alias("original_client_timestamp"),
             received_at.alias("verifier_receive_time"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.plans import energy, messages, oracle_energy, oracle_messages
+from gridloom.plans import energy, messages, oracle_energy, oracle_messages, oracle_streams, streams
 from gridloom.plans.meter import Meter, comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,8 @@ def _over_tables(plan: Callable[[Meter], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {plan.__name__: _over_tables(plan) for plan in [*messages.QUERIES, *energy.QUERIES]}
+    return {plan.__name__: _over_tables(plan) for plan in [*messages.QUERIES, *energy.QUERIES, *streams.QUERIES]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_messages.ORACLE, **oracle_energy.ORACLE}
+    return {**oracle_messages.ORACLE, **oracle_energy.ORACLE, **oracle_streams.ORACLE}

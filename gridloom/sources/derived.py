@@ -19,11 +19,15 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The same table as a file stream with the schema that the table declares."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
+    """The same table as a file stream with the schema that the table declares.
+
+    The pattern lets the table be one file or a folder of files.
+    """
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(f"{sf_dir}/events.parque[t]")
     )
 
 

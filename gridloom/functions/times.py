@@ -32,9 +32,8 @@ def from_rfc3339_sql(text: str) -> str:
 
 def to_rfc3339(ts: Column) -> Column:
     """UTC text without trailing zeros in the fraction; an unset time is the zero time."""
-    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    return F.coalesce(F.concat(trimmed, F.lit("Z")), F.lit(ZERO_TIME))
+    text = F.translate(ts.cast("string"), " ", "T")
+    return F.coalesce(F.concat(text, F.lit("Z")), F.lit(ZERO_TIME))
 
 
 def millis_between(later: Column, earlier: Column) -> Column:

@@ -17,6 +17,8 @@ OBJECT_PREFIX = "raw-audit-logs/daily-aggregates"
 BATCH_THRESHOLD = 100
 UNPARSEABLE = "archive_unparseable"
 
+BATCH_COLUMNS = ["batch_key", "publish_time", "message_id", "device_eui", "archived_at"]
+
 
 def fan_in(enriched: DataFrame, unidentified: DataFrame) -> DataFrame:
     """Both outputs as one set of messages; absent fields are NULL."""
@@ -76,7 +78,7 @@ def archive_batches(records: DataFrame, threshold: int = BATCH_THRESHOLD) -> Dat
     if threshold < 1:
         raise ValueError("a batch holds at least one message")
     numbered = number_rows(
-        records.select("batch_key", "publish_time", "message_id", "device_eui", "archived_at"),
+        records.select(*BATCH_COLUMNS),
         ["batch_key"],
         "publish_time",
         ["message_id"],

@@ -16,11 +16,11 @@ SALTS = 32
 
 
 def fits_broadcast(
-    dim: DataFrame,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
     """Count at most ``max_rows + 1`` rows and their text size."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns])))
     found = (
         dim.limit(max_rows + 1)
@@ -36,7 +36,7 @@ def lookup_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_rows: int | None = None,
     salts: int = SALTS,
     residual: Column | None = None,
 ) -> DataFrame:

@@ -44,64 +44,72 @@ def number_rows(
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, points: Sequence[float], by: Sequence[str], width: int = 1 << 16
+    counts: DataFrame,
+    value: str,
+    points: Sequence[float],
+    by: Sequence[str],
+    width: int = 1 << 16,
 ) -> DataFrame:
-    """Interpolated percentiles of a whole-number column, per group.
+    """Interpolated percentiles of whole numbers, per group, from their counts.
 
-    Values are counted, then cut into ranges of ``width``.  Running totals over
-    the ranges tell which few of them hold the wanted ranks, and only the counts
-    in those are looked at one by one: no task sees all values of a group.
+    ``counts`` has one row per group and value with its frequency ``n``.  Values
+    are cut into ranges of ``width``; running totals over the ranges give each
+    range its first rank, and ranks inside a range are counted there.  No task
+    sees all values of a group.  ``counts`` is read twice, so it should be a table.
     """
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_range", F.floor(F.col(value) / width))
+    counts = counts.where(F.col(value).isNotNull()).withColumn(
+        "_range", F.floor(F.col(value) / width)
     )
-    ranges = counts.groupBy(*by, "_range").agg(F.sum("_n").alias("_rn"))
-    up_to = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
+    ranges = counts.groupBy(*by, "_range").agg(F.sum("n").alias("_rn"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(
         *by,
         "_range",
-        (F.sum("_rn").over(up_to) - F.col("_rn")).alias("_start"),
-        F.sum("_rn").over(up_to).alias("_end"),
-        F.sum("_rn").over(whole).alias("_total"),
-    )
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(float(p)).alias("point")) for p in points])
-    ).alias("_w")
-    exact = F.col("_w.point") * (F.col("_total") - 1)
-    ranks = (
-        ranges.select("*", wanted)
-        .select(
-            *by, "_range", "_start", "_end", F.col("_w.point").alias("point"), exact.alias("_at")
-        )
-        .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_side"))
-        .withColumn(
-            "_rank",
-            F.when(F.col("_side") == 0, F.floor("_at")).otherwise(F.ceil("_at")),
-        )
-        .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end")))
+        F.coalesce(F.sum("_rn").over(earlier), F.lit(0)).alias("_first"),
+        F.sum("_rn").over(Window.partitionBy(*by)).alias("_total"),
     )
     inside = (
         Window.partitionBy(*by, "_range")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    needed = ranks.select(*by, "_range").distinct()
-    fine = counts.join(needed, [*by, "_range"], "left_semi").withColumn(
-        "_fine_end", F.sum("_n").over(inside)
+    ranked = (
+        counts.join(ranges, [*by, "_range"])
+        .withColumn("_end", F.col("_first") + F.sum("n").over(inside))
+        .withColumn("_start", F.col("_end") - F.col("n"))
+        .withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
+        .withColumn("_at", F.col("point") * (F.col("_total") - 1))
     )
-    hit = ranks.join(fine, [*by, "_range"]).where(
-        (F.col("_rank") - F.col("_start") < F.col("_fine_end"))
-        & (F.col("_rank") - F.col("_start") >= F.col("_fine_end") - F.col("_n"))
+    low, high = F.floor("_at"), F.ceil("_at")
+    holds_low = (low >= F.col("_start")) & (low < F.col("_end"))
+    holds_high = (high >= F.col("_start")) & (high < F.col("_end"))
+    return (
+        ranked.where(holds_low | holds_high)
+        .groupBy(*by, "point")
+        .agg(
+            F.max(F.when(holds_low, F.col(value))).alias("_low"),
+            F.max(F.when(holds_high, F.col(value))).alias("_high"),
+            F.max(F.col("_at") - low).alias("_share"),
+        )
+        .select(
+            *by,
+            "point",
+            (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("value"),
+        )
     )
-    low = F.max(F.when(F.col("_side") == 0, F.col(value)))
-    high = F.max(F.when(F.col("_side") == 1, F.col(value)))
-    share = F.max(F.col("_at") - F.floor("_at"))
-    return hit.groupBy(*by, "point").agg((low + (high - low) * share).alias("value"))
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a source that has fewer splits than there are cores.
+
+    Parsing costs far more than moving a few raw rows.  A large source has more
+    splits than cores and is left alone, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def spread_write(df: DataFrame, columns: Sequence[str]) -> DataFrame:

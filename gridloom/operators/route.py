@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampType
 
 from gridloom.functions.text import empty_if_null, is_blank
 from gridloom.functions.times import to_rfc3339
@@ -122,27 +123,34 @@ def topic_records(routed: DataFrame) -> DataFrame:
     Both topics come out of one pass over the routed messages.
     """
     c = F.col
-    text = lambda name: empty_if_null(c(name)).alias(name)
-    time = lambda name: to_rfc3339(c(name)).alias(name)
-    known_body = F.struct(
-        text("raw_payload"),
-        text("device_eui"),
-        time("original_mqtt_time"),
-        time("lorawan_received_at"),
-        text("client_id"),
-        text("location_id"),
-        text("device_category"),
-        time("ingestion_timestamp"),
-        time("original_client_timestamp"),
-        text("client_message_id"),
+    # Only these may be unset in a message that has passed routing.
+    times = [f.name for f in ENRICHED.fields if isinstance(f.dataType, TimestampType)]
+    wire = {f"_{name}": to_rfc3339(c(name)) for name in times}
+    wire |= {f"_{name}": empty_if_null(c(name)) for name in ("raw_payload", "client_message_id")}
+
+    def body(*names: str) -> Column:
+        fields = [c(f"_{n}" if f"_{n}" in wire else n).alias(n) for n in names]
+        return F.to_json(F.struct(*fields))
+
+    known_body = body(
+        "raw_payload",
+        "device_eui",
+        "original_mqtt_time",
+        "lorawan_received_at",
+        "client_id",
+        "location_id",
+        "device_category",
+        "ingestion_timestamp",
+        "original_client_timestamp",
+        "client_message_id",
     )
-    unknown_body = F.struct(
-        text("device_eui"),
-        text("raw_payload"),
-        time("original_mqtt_time"),
-        time("lorawan_received_at"),
-        time("ingestion_timestamp"),
-        text("processing_error"),
+    unknown_body = body(
+        "device_eui",
+        "raw_payload",
+        "original_mqtt_time",
+        "lorawan_received_at",
+        "ingestion_timestamp",
+        "processing_error",
     )
     known_attributes = _attributes(
         message_type=F.lit("enriched"),
@@ -156,9 +164,10 @@ def topic_records(routed: DataFrame) -> DataFrame:
         error_reason=c("processing_error"),
     )
     known = c("exit") == "enriched"
-    return routed.where(c("exit").isin("enriched", "unidentified")).select(
+    sent = routed.where(c("exit").isin("enriched", "unidentified")).withColumns(wire)
+    return sent.select(
         "message_id",
-        F.when(known, F.to_json(known_body)).otherwise(F.to_json(unknown_body)).alias("payload"),
+        F.when(known, known_body).otherwise(unknown_body).alias("payload"),
         F.when(known, known_attributes).otherwise(unknown_attributes).alias("attributes"),
         "publish_time",
         c("exit").alias("topic_source"),

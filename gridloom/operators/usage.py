@@ -54,24 +54,17 @@ def _metered_steps(rows: DataFrame, slice_unit: str = "hour") -> DataFrame:
         .withColumn("_slice", F.date_trunc(slice_unit, "at"))
     )
     metered = F.col("kwh").isNotNull()
-    last = (
-        instants.where(metered)
-        .groupBy("device_eui", "_slice")
-        .agg(F.max_by("kwh", "at").alias("_last"))
+    # A slice without a metered reading hands on what it was given.
+    earlier = (
+        Window.partitionBy("device_eui")
+        .orderBy("_slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    by_slice = Window.partitionBy("device_eui").orderBy("_slice")
-    # Slices without a metered reading hand on what they were given.
     slices = (
-        instants.select("device_eui", "_slice")
-        .distinct()
-        .join(last, ["device_eui", "_slice"], "left")
-        .withColumn(
-            "_given",
-            F.last("_last", ignorenulls=True).over(
-                by_slice.rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .select("device_eui", "_slice", "_given")
+        instants.groupBy("device_eui", "_slice")
+        .agg(F.max_by("kwh", F.when(metered, F.col("at"))).alias("_last"))
+        .withColumn("_given", F.last("_last", ignorenulls=True).over(earlier))
+        .drop("_last")
     )
     inside = Window.partitionBy("device_eui", "_slice").orderBy("at")
     before = F.coalesce(

@@ -113,19 +113,27 @@ def violations(records: DataFrame, run_devices: DataFrame) -> DataFrame:
     )
 
 
-def latency_stats(records: DataFrame, column: str = "latency_ms") -> DataFrame:
+def latency_counts(records: DataFrame, column: str = "latency_ms") -> DataFrame:
+    """How often each latency occurred, per topic; combined before the shuffle."""
+    return records.groupBy("topic_source", F.col(column).alias("latency_ms")).agg(
+        F.count("*").alias("n")
+    )
+
+
+def latency_stats(counts: DataFrame) -> DataFrame:
     """Exact P50, P90 and P99, mean, least and greatest latency per topic."""
     points = {0.5: "p50", 0.9: "p90", 0.99: "p99"}
     ranked = (
-        exact_percentiles(records, column, list(points), ["topic_source"])
+        exact_percentiles(counts, "latency_ms", list(points), ["topic_source"])
         .groupBy("topic_source")
         .agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
     )
-    plain = records.groupBy("topic_source").agg(
-        F.count(column).alias("measured"),
-        F.avg(column).alias("mean"),
-        F.min(column).alias("least"),
-        F.max(column).alias("greatest"),
+    measured = F.sum(F.when(F.col("latency_ms").isNotNull(), F.col("n")))
+    plain = counts.groupBy("topic_source").agg(
+        F.coalesce(measured, F.lit(0)).alias("measured"),
+        (F.sum(F.col("latency_ms") * F.col("n")) / measured).alias("mean"),
+        F.min("latency_ms").alias("least"),
+        F.max("latency_ms").alias("greatest"),
     )
     return plain.join(ranked, "topic_source", "left")
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import TimestampType
 
 from gridloom import session
 from gridloom.operators import archive, decode, parse, route, verify
+from gridloom.operators.ordering import spread_small
 from gridloom.sources import derived
 
 
@@ -25,7 +26,7 @@ class Meter:
 
     @cached_property
     def envelopes(self) -> DataFrame:
-        return derived.envelopes(self.table("events"))
+        return derived.envelopes(spread_small(self.table("events"), "event_id"))
 
     @cached_property
     def registry(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Suggested for a cluster session; a session that already exists keeps its own.
 CLUSTER_SETTINGS = {
@@ -57,3 +57,14 @@ def shared_root(spark: SparkSession) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder below the shared root."""
     return f"{shared_root(spark)}/gridloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a DataFrame to the shared folder and go on from the written table.
+
+    For a result that several branches of a plan read: it is computed once, and
+    an executor that is lost later costs a re-read instead of the whole lineage.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.operators import archive, decode, parse, route, usage
+from gridloom.operators.ordering import spread_small
 from gridloom.sinks.tables import Sink
 from gridloom.sources.landed import RegistrySnapshot
 
@@ -39,7 +40,7 @@ def per_batch(transform: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:
     """Apply a batch transform inside the sink, so that it may look things up anew."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        sink(transform(df), batch_id)
+        sink(transform(spread_small(df, "message_id")), batch_id)
 
     return write
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from gridloom.functions.once import add_once
-from gridloom.functions.times import from_rfc3339_sql, is_rfc3339_sql
+from gridloom.functions.times import is_rfc3339_sql, unless_zero_sql
 
 _CHECK = "gridloom:whole"
 _OPTIONS = (
@@ -42,7 +42,7 @@ def parse_whole(df: DataFrame, text: str, schema: StructType, into: str) -> Data
             "_item": F.expr("_json.items[0]"),
         }
     )
-    checks, leaves, values = ["_one"], {}, []
+    checks, leaves, times, values = ["_one"], {}, {}, []
     for f in schema.fields:
         inner = f.dataType.fields if isinstance(f.dataType, StructType) else None
         parts = []
@@ -56,14 +56,16 @@ def parse_whole(df: DataFrame, text: str, schema: StructType, into: str) -> Data
                 value = f"_leaf{len(leaves)}"
                 leaves[value] = F.expr(f"try_cast({path} as string)")
             if isinstance(g.dataType, TimestampType):
-                checks.append(f"coalesce({is_rfc3339_sql(value)}, true)")
-                value = from_rfc3339_sql(value)
+                time = f"_time{len(times)}"
+                times[time] = F.expr(f"try_cast({value} as timestamp)")
+                checks.append(is_rfc3339_sql(value, time))
+                value = unless_zero_sql(value, time)
             parts.append(f"'{g.name}', {value}")
         body = f"named_struct({', '.join(parts)})"
         values.append(f"'{f.name}', {body}" if inner else parts[0])
     whole = f"case when {' and '.join(checks)} then named_struct({', '.join(values)}) end"
-    parsed = add_once(df.withColumns(leaves), {into: F.expr(whole)})
-    return parsed.drop("_json", "_one", "_item", *leaves)
+    parsed = add_once(df.withColumns(leaves).withColumns(times), {into: F.expr(whole)})
+    return parsed.drop("_json", "_one", "_item", *leaves, *times)
 
 
 def _wire_type(kind) -> str:

@@ -8,25 +8,24 @@ from pyspark.sql import Column, functions as F
 ZERO_TIME = "0001-01-01T00:00:00Z"
 ZERO_TIME_PATTERN = "^0001-01-01T00:00:00([.]0+)?Z$"
 RFC3339_PATTERN = (
-    "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])"
-    "T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]([.][0-9]+)?"
-    "(Z|[+-]([01][0-9]|2[0-3]):[0-5][0-9])$"
+    "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?"
+    "(Z|[+-][0-9]{2}:[0-9]{2})$"
 )
 
 
-def is_rfc3339_sql(text: str) -> str:
-    """True for no time, or a well-formed one that exists in the calendar."""
+def is_rfc3339_sql(text: str, time: str) -> str:
+    """True for no time, or a well-formed one; ``time`` is NULL if it does not exist."""
     return (
-        f"({text} is null or {text} rlike '{RFC3339_PATTERN}' and not endswith({text}, '\\n')"
-        f" and try_cast({text} as timestamp) is not null)"
+        f"({text} is null or ({time} is not null and {text} rlike '{RFC3339_PATTERN}'"
+        f" and not endswith({text}, '\n')))"
     )
 
 
-def from_rfc3339_sql(text: str) -> str:
+def unless_zero_sql(text: str, time: str) -> str:
     """The instant, or NULL for the zero time."""
     return (
         f"case when startswith({text}, '0001-01-01') and {text} rlike '{ZERO_TIME_PATTERN}'"
-        f" then null else try_cast({text} as timestamp) end"
+        f" then null else {time} end"
     )
 
 

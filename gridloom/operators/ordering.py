@@ -22,24 +22,27 @@ def number_rows(
     numbered inside (key, slice).  A key that holds a third of all rows is thus
     spread over as many tasks as it has slices.
     """
-    keys = list(keys)
-    cut = F.coalesce(F.date_trunc(slice_unit, F.col(time)), F.to_timestamp(F.lit("0001-01-01")))
-    df = df.withColumn("_slice", cut)
-    counts = df.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_slice").alias("_o_slice"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    # One text key that is never NULL serves the count, the join and the window,
+    # so rows are shuffled once.
+    df = df.withColumns(
+        {
+            "_key": F.to_json(F.struct(*[F.col(k) for k in keys])),
+            "_slice": F.coalesce(
+                F.date_trunc(slice_unit, F.col(time)), F.to_timestamp(F.lit("0001-01-01"))
+            ),
+        }
     )
-    same = F.col("_slice") == F.col("_o_slice")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(time, *ties)
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy("_key", "_slice")
+        .agg(F.count("*").alias("_n"))
+        .select("_key", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy("_key", "_slice").orderBy(time, *ties)
     return (
-        df.join(offsets, same)
+        df.join(offsets, ["_key", "_slice"])
         .withColumn(into, F.row_number().over(inside) + F.col("_before"))
-        .drop("_slice", "_o_slice", "_before", *[f"_o_{k}" for k in keys])
+        .drop("_key", "_slice", "_before")
     )
 
 

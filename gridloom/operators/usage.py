@@ -289,30 +289,32 @@ def adjusted_usage(readings: DataFrame, adjustments: DataFrame) -> DataFrame:
     Adjustments are an append-only list; they are added up beside the readings,
     never applied to them, and an adjustment without a reading still counts.
     """
-    metered = energy_rows(readings).select(
-        "device_eui",
-        F.to_date("at").alias("day"),
+    key = ["device_eui", "day"]
+    metered = daily_usage(readings, ["device_eui"]).select(
+        *key,
         F.col("kwh").alias("metered_kwh"),
         F.lit(0.0).alias("adjustment_kwh"),
-        F.lit(0).alias("_n"),
-        F.lit(None).cast("string").alias("justification"),
+        F.lit(0).cast("bigint").alias("n_adjustments"),
+        F.lit("").alias("justifications"),
     )
-    manual = adjustments.select(
-        "device_eui",
-        F.to_date("original_mqtt_time").alias("day"),
-        F.lit(0.0).alias("metered_kwh"),
-        "adjustment_kwh",
-        F.lit(1).alias("_n"),
-        "justification",
+    manual = (
+        adjustments.groupBy("device_eui", F.to_date("original_mqtt_time").alias("day"))
+        .agg(
+            F.sum("adjustment_kwh").alias("adjustment_kwh"),
+            F.count("*").alias("n_adjustments"),
+            F.array_join(F.array_sort(F.collect_set("justification")), "; ").alias("justifications"),
+        )
+        .withColumn("metered_kwh", F.lit(0.0))
     )
+    # At most one row of each kind per device and day is left to bring together.
     return (
         metered.unionByName(manual)
-        .groupBy("device_eui", "day")
+        .groupBy(*key)
         .agg(
-            F.coalesce(F.sum("metered_kwh"), F.lit(0.0)).alias("metered_kwh"),
+            F.sum("metered_kwh").alias("metered_kwh"),
             F.sum("adjustment_kwh").alias("adjustment_kwh"),
-            F.sum("_n").alias("n_adjustments"),
-            F.array_join(F.array_sort(F.collect_set("justification")), "; ").alias("justifications"),
+            F.sum("n_adjustments").alias("n_adjustments"),
+            F.max("justifications").alias("justifications"),
         )
         .withColumn("net_kwh", F.col("metered_kwh") + F.col("adjustment_kwh"))
     )

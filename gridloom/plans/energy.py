@@ -40,7 +40,7 @@ def energy_running(m: Meter) -> DataFrame:
 
 def energy_cumulative(m: Meter) -> DataFrame:
     """Daily energy when the readings are taken for a running meter's."""
-    steps = usage.energy_rows(m.readings, "cumulative_kwh")
+    steps = usage.energy_rows(_settled(m), "cumulative_kwh")
     return steps.groupBy("device_eui", F.to_date("at").alias("day")).agg(F.sum("kwh").alias("kwh"))
 
 
@@ -154,23 +154,24 @@ def bi_daily(m: Meter) -> DataFrame:
 
 def group_reports(m: Meter) -> DataFrame:
     """Anomalies for operations, costs for finance, daily use for management."""
-    place_intervals = usage.intervals(m.readings, ["location_id"])
+    readings = _settled(m)
+    place_intervals = usage.intervals(readings, ["location_id"])
     alerts = usage.peak_alerts(place_intervals, parameters.thresholds(m.spark))
-    found = anomaly_report(m).select(
+    found = anomalies.anomaly_report(usage.intervals(readings)).select(
         F.lit("anomalies").alias("report"),
         "location_id",
         F.col("interval_start").alias("item_time"),
         F.concat_ws(":", "kind", "device_eui").alias("kind"),
         F.col("kwh").alias("value"),
     )
-    costs = cost_report(m).select(
+    costs = tariffs.cost_report(readings, _tariffs(m), parameters.charges(m.spark)).select(
         F.lit("cost").alias("report"),
         "location_id",
         F.col("month").cast("timestamp").alias("item_time"),
         F.col("component").alias("kind"),
         F.col("cost").alias("value"),
     )
-    use = usage.daily_usage(m.readings).select(
+    use = usage.daily_usage(readings).select(
         F.lit("usage").alias("report"),
         "location_id",
         F.col("day").cast("timestamp").alias("item_time"),
@@ -185,6 +186,12 @@ def quality_report(m: Meter) -> DataFrame:
     return reports.quality_report(m.decoded)
 
 
+def _settled(m: Meter) -> DataFrame:
+    """The readings' energy columns as a table, for plans that read them several times."""
+    narrow = m.readings.select(*usage.PLACE, "original_mqtt_time", "reading")
+    return session.settle(narrow, "readings")
+
+
 def _locations(m: Meter) -> DataFrame:
     return parameters.locations(m.table("nation"))
 

@@ -18,7 +18,7 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> DataFrame:
     """The same table as a file stream with the schema that the table declares.
 
     The pattern lets the table be one file or a folder of files.

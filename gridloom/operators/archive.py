@@ -85,7 +85,7 @@ def archive_batches(records: DataFrame, threshold: int = BATCH_THRESHOLD) -> Dat
     )
     n = F.col("position")
     return (
-        numbered.withColumn("batch_no", F.floor((n - 1) / threshold))
+        numbered.withColumn("batch_no", F.call_function("div", n - 1, F.lit(threshold)))
         .groupBy("batch_key", "batch_no")
         .agg(
             F.count("*").alias("message_count"),

@@ -57,7 +57,7 @@ def usage_vs_target(m: Meter) -> DataFrame:
 
 def peak_alerts(m: Meter) -> DataFrame:
     places = usage.intervals(m.readings, ["location_id"])
-    return usage.peak_alerts(places, parameters.thresholds(m.spark))
+    return usage.peak_alerts(places, parameters.thresholds(_locations(m)))
 
 
 def demand_peaks(m: Meter) -> DataFrame:
@@ -77,7 +77,7 @@ def tariff_overlaps(m: Meter) -> DataFrame:
 
 
 def cost_report(m: Meter) -> DataFrame:
-    return tariffs.cost_report(m.readings, _tariffs(m), parameters.charges(m.spark))
+    return tariffs.cost_report(m.readings, _tariffs(m), parameters.charges(_locations(m)))
 
 
 def load_shift(m: Meter) -> DataFrame:
@@ -156,7 +156,7 @@ def group_reports(m: Meter) -> DataFrame:
     """Anomalies for operations, costs for finance, daily use for management."""
     readings = _settled(m)
     place_intervals = usage.intervals(readings, ["location_id"])
-    alerts = usage.peak_alerts(place_intervals, parameters.thresholds(m.spark))
+    alerts = usage.peak_alerts(place_intervals, parameters.thresholds(_locations(m)))
     found = anomalies.anomaly_report(usage.intervals(readings)).select(
         F.lit("anomalies").alias("report"),
         "location_id",
@@ -164,7 +164,7 @@ def group_reports(m: Meter) -> DataFrame:
         F.concat_ws(":", "kind", "device_eui").alias("kind"),
         F.col("kwh").alias("value"),
     )
-    costs = tariffs.cost_report(readings, _tariffs(m), parameters.charges(m.spark)).select(
+    costs = tariffs.cost_report(readings, _tariffs(m), parameters.charges(_locations(m))).select(
         F.lit("cost").alias("report"),
         "location_id",
         F.col("month").cast("timestamp").alias("item_time"),

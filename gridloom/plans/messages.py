@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from gridloom import session
 from gridloom.operators import archive, decode, parse, route, verify
 from gridloom.plans.meter import Meter
-from gridloom.schemas import ENRICHED, UNIDENTIFIED
 from gridloom.sinks import tables
 from gridloom.sources import landed
 
@@ -151,10 +150,14 @@ def reading_lookup(m: Meter) -> DataFrame:
 
 
 def archive_union(m: Meter) -> DataFrame:
-    """Both outputs as one set with all fields of either."""
-    known = m.routed.where(F.col("exit") == "enriched").select(*ENRICHED.names)
-    unknown = m.routed.where(F.col("exit") == "unidentified").select(*UNIDENTIFIED.names)
-    return archive.fan_in(known, unknown)
+    """Both outputs as one set with all fields of either.
+
+    The routed messages are landed once, by exit; each side reads its own part.
+    """
+    path = session.shared_folder(m.spark, "routed")
+    tables.batch_sink(path, ["exit"])(m.routed, 0)
+    landed_exits = tables.read_batches(m.spark, path, m.routed.schema)
+    return archive.fan_in(route.enriched(landed_exits), route.unidentified(landed_exits))
 
 
 def archive_route(m: Meter) -> DataFrame:

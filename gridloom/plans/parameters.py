@@ -31,13 +31,16 @@ def tariffs(spark: SparkSession) -> DataFrame:
     )
 
 
-def charges(spark: SparkSession) -> DataFrame:
-    return spark.sql("select '*' location_id, 8.0D demand_rate, 16.0D fixed_rate")
+def charges(places: DataFrame) -> DataFrame:
+    """Each location's price per kW of peak demand and per month."""
+    return places.select(
+        "location_id", F.lit(8.0).alias("demand_rate"), F.lit(16.0).alias("fixed_rate")
+    )
 
 
-def thresholds(spark: SparkSession) -> DataFrame:
-    """Contractual energy per 15 minutes."""
-    return spark.sql("select '*' location_id, 64.0D threshold_kwh")
+def thresholds(places: DataFrame) -> DataFrame:
+    """Each location's contractual energy per 15 minutes."""
+    return places.select("location_id", F.lit(64.0).alias("threshold_kwh"))
 
 
 def subscriptions(spark: SparkSession) -> DataFrame:

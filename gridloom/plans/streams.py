@@ -97,7 +97,8 @@ def stream_demand(m: Meter) -> DataFrame:
 def stream_peak_alerts(m: Meter) -> DataFrame:
     """Alerts of all intervals that were closed when the stream ended."""
     s, path = _stream(m), session.shared_folder(m.spark, "alerts")
-    alerts = jobs.peak_alerts(s.readings, parameters.thresholds(m.spark))
+    limits = parameters.thresholds(parameters.locations(m.table("nation")))
+    alerts = jobs.peak_alerts(s.readings, limits)
     _drain(m, alerts, tables.batch_sink(path))
     return tables.read_batches(m.spark, path, alerts.schema)
 

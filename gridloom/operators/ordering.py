@@ -6,43 +6,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gridloom import session
+
 
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
     ties: Sequence[str],
-    slice_unit: str = "minute",
     into: str = "position",
 ) -> DataFrame:
     """Exact 1-based row numbers per key, ordered by ``time`` then ``ties``.
 
-    A key is cut into time slices.  The slices are counted with a map-side
-    combine, their running totals are taken over the counts only, and rows are
-    numbered inside (key, slice).  A key that holds a third of all rows is thus
-    spread over as many tasks as it has slices.
+    Rows are cut into ranges of (key, time, ties) of about equal size, whatever
+    the share of one key or of one instant.  The cut rows are written, which
+    fixes each row's cut.  Rows are then counted per key and cut, running totals
+    are taken over those counts only, and rows are numbered inside (key, cut).
+    Spark samples the input before it cuts, so it should be a table.
     """
-    # One text key that is never NULL serves the count, the join and the window,
-    # so rows are shuffled once.
-    df = df.withColumns(
-        {
-            "_key": F.to_json(F.struct(*[F.col(k) for k in keys])),
-            "_slice": F.coalesce(
-                F.date_trunc(slice_unit, F.col(time)), F.to_timestamp(F.lit("0001-01-01"))
-            ),
-        }
-    )
-    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One text key that is never NULL serves the cut, the count and the join.
+    ordered = df.withColumn("_key", F.to_json(F.struct(*[F.col(k) for k in keys])))
+    ordered = ordered.repartitionByRange("_key", time, *ties)
+    cut = session.settle(ordered.withColumn("_cut", F.spark_partition_id()), "ordered")
+    earlier = Window.partitionBy("_key").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy("_key", "_slice")
+        cut.groupBy("_key", "_cut")
         .agg(F.count("*").alias("_n"))
-        .select("_key", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        .select("_key", "_cut", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_key", "_slice").orderBy(time, *ties)
+    inside = Window.partitionBy("_key", "_cut").orderBy(time, *ties)
     return (
-        df.join(offsets, ["_key", "_slice"])
+        cut.join(offsets, ["_key", "_cut"])
         .withColumn(into, F.row_number().over(inside) + F.col("_before"))
-        .drop("_key", "_slice", "_before")
+        .drop("_key", "_cut", "_before")
     )
 
 

@@ -173,7 +173,7 @@ def archive_records(m: Meter) -> DataFrame:
 
 
 def archive_batches(m: Meter) -> DataFrame:
-    """Numbering reads its input twice, so the few columns it needs are written first."""
+    """Numbering samples its input first, so the few columns it needs are written."""
     narrow = m.archived.select(*archive.BATCH_COLUMNS)
     return archive.archive_batches(session.settle(narrow, "archived"))
 

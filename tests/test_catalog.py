@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from gridloom.plans import catalog
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,11 @@ def test_each_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, tables, name):
     assert compare.difference(QUERIES[name](spark, sf_dir), tables, ORACLE[name]) is None

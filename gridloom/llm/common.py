@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -56,18 +56,19 @@ class Scratch:
                 where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def keyed(docs: DataFrame, scratch: Scratch, columns: Iterable[str]) -> DataFrame:
-    """``columns`` of the documents with ``_key``, a number that names one row.
+def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``_key``, a number that names one row, and ``_row``, all columns of the row.
 
-    Whole, distinct doc_ids serve as they are.  With null or repeated ones the
+    The columns stay inside ``_row``, where no name of theirs can clash.  Whole,
+    distinct doc_ids serve as keys as they are.  With null or repeated ones the
     rows are numbered and written once, which fixes the numbers for all readers.
     """
-    columns = list(columns)
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
-    clash = ids.where(F.col("doc_id").isNull() | (F.col("n") > 1)).limit(1)
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("_n"))
+    clash = ids.where(F.col("doc_id").isNull() | (F.col("_n") > 1)).limit(1)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     if not clash.take(1):
-        return docs.select(F.col("doc_id").alias("_key"), *columns)
-    return scratch.settle(docs.select(F.monotonically_increasing_id().alias("_key"), *columns))
+        return docs.select(F.col("doc_id").cast("long").alias("_key"), row)
+    return scratch.settle(docs.select(F.monotonically_increasing_id().alias("_key"), row))
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import simhash
+from gridloom.llm import simhash, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES = [
     simhash.op5_simhash_near_dedup,
+    suffix.op6_suffix_array_dedup,
 ]
 
 

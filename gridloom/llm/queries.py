@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import simhash, suffix
+from gridloom.llm import quality, simhash, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES = [
+    quality.op2_quality_rules,
     simhash.op5_simhash_near_dedup,
     suffix.op6_suffix_array_dedup,
 ]
@@ -21,4 +22,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_quality_rules": quality.ORACLE_SQL}

@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import quality, simhash, suffix
+from gridloom.llm import decontaminate, packing, quality, simhash, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES = [
+    packing.op1_best_fit_packing,
     quality.op2_quality_rules,
     simhash.op5_simhash_near_dedup,
     suffix.op6_suffix_array_dedup,
+    decontaminate.op8_benchmark_decontamination,
 ]
 
 
@@ -22,4 +24,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality.ORACLE_SQL}
+    return {
+        "op2_quality_rules": quality.ORACLE_SQL,
+        "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    }

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm.common import LOWER_AZ, Scratch, batches, table, utf8
+from gridloom.llm.common import LOWER_AZ, Scratch, batches, keyed, table, utf8
 
 SHINGLE = 3
 SEED = 42
@@ -81,14 +81,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows):
         prints = [fingerprint(text) for text in utf8(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(prints, pa.int64())], ["doc_id", "fp"]
-        )
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+        yield pa.RecordBatch.from_pydict({**columns, "fp": pa.array(prints, pa.int64())})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the 64 bits as a long) of every document."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _fingerprints, "doc_id long, fp long"
+    )
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -276,6 +277,16 @@ def roots(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return after.select("v", "p")
 
 
+def _components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints per row (the columns of ``docs`` but text, and fp), and the root of each."""
+    prints = scratch.settle(docs)
+    distinct = scratch.settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = roots(links(distinct.select("fp"), scratch), scratch)
+    return prints, distinct.join(found, distinct.fp == found.v, "left").select(
+        "fp", "least", F.coalesce("p", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document.
 
@@ -283,12 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bits reach, the document's own included.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    prints = scratch.settle(fingerprints(docs))
-    distinct = scratch.settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = roots(links(distinct, scratch), scratch)
-    rooted = distinct.join(found, distinct.fp == found.v, "left").select(
-        "fp", "least", F.coalesce("p", "fp").alias("root")
-    )
+    prints, rooted = _components(fingerprints(docs), scratch)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     components = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(components, "fp").select(
@@ -296,5 +302,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, with all its columns: that of the least doc_id.
+
+    Of rows that share it, or have none, one stays.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = keyed(docs, scratch)
+    texts = rows.select("_key", F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("_row.text").alias("text"))
+    printed = texts.mapInArrow(_fingerprints, "_key long, doc_id long, fp long")
+    prints, rooted = _components(printed, scratch)
+    # Nulls last, then the key: both sums are made before anything is shuffled.
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")
+    firsts = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = firsts.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first._key").alias("_key")), "_key", "left_semi").select("_row.*")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -409,15 +409,19 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> tupl
     anchors = scratch.settle(
         texts.mapInArrow(_anchors, "gram long, context long, _key long, lo long, n int")
     )
-    several = anchors.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    # Written before they are joined: a join whose sides are read straight from a
+    # shuffle can be split where a gram is hot.
+    several = scratch.settle(
+        anchors.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    )
     shared = scratch.settle(anchors.join(several, "gram", "left_semi"))
-    scratch.drop(anchors)
+    scratch.drop(anchors, several)
     kinds = scratch.settle(
         shared.groupBy("gram", "context").agg(
             F.count("*").alias("copies"), F.min(F.struct("_key", "lo")).alias("shown")
         )
     )
-    numbers = kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
+    numbers = scratch.settle(kinds.groupBy("gram").agg(F.count("*").alias("kinds")))
     cuts = (
         shared.join(kinds, ["gram", "context"])
         .join(numbers, "gram")
@@ -435,7 +439,7 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> tupl
     )
     by_text = cuts.groupBy("_key").agg(F.collect_list(F.struct("gram", "lo", "n", "whole", "sort", "hot")).alias("cuts"))
     held = scratch.settle(texts.join(by_text, "_key"))
-    scratch.drop(shared, kinds)
+    scratch.drop(shared, kinds, numbers)
     pieces = held.where("exists(cuts, c -> c.sort and not c.hot)").mapInArrow(
         _pieces, "gram long, _key long, lo long, piece binary"
     )

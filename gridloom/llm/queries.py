@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, quality, simhash, suffix, token_counts
+from gridloom.llm import decontaminate, packing, quality, simhash, sitetree, suffix, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES = [
     packing.op1_best_fit_packing,
     quality.op2_quality_rules,
+    sitetree.op3_html_extraction,
     token_counts.op4_token_counts,
     simhash.op5_simhash_near_dedup,
     suffix.op6_suffix_array_dedup,

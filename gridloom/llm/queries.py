@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, quality, simhash, sitetree, suffix, token_counts
+from gridloom.llm import decontaminate, packing, quality, simhash, sitetree, suffix, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ _QUERIES = [
     simhash.op5_simhash_near_dedup,
     suffix.op6_suffix_array_dedup,
     decontaminate.op8_benchmark_decontamination,
+    toxicity.op10_toxicity,
 ]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, packing, quality, simhash, sitetree, suffix, token_counts, toxicity
+from gridloom.llm import decontaminate, language, licenses, packing, quality, simhash, sitetree, suffix, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,9 @@ _QUERIES = [
     token_counts.op4_token_counts,
     simhash.op5_simhash_near_dedup,
     suffix.op6_suffix_array_dedup,
+    language.op7_language_id,
     decontaminate.op8_benchmark_decontamination,
+    licenses.op9_license_scan,
     toxicity.op10_toxicity,
 ]
 

@@ -23,23 +23,27 @@ _OPTIONS = (
 def parse_whole(df: DataFrame, text: str, schema: StructType, into: str) -> DataFrame:
     """Add ``into``: the parsed object, or NULL where the text is not acceptable.
 
-    The text becomes the first of two array items; the second carries the text's
-    own hash.  The hash is read back only if the text was exactly one JSON value,
-    so text after the object is noticed in the same, single parse.  Strings and
-    times are read as variants, which keep the kind of the value.
+    The text becomes the middle one of three array items; the others carry the
+    text's own hash.  Both are read back only if the text was exactly one JSON
+    value: text that closes the array and opens another one under the same key
+    loses the first item, and text after the object adds items.  All this is
+    noticed in the same, single parse.  Strings and times are read as variants,
+    which keep the kind of the value.
     """
     fields = ", ".join(f"`{f.name}` {_wire_type(f.dataType)}" for f in schema.fields)
+    mark = f"'{{\"{_CHECK}\":' || xxhash64(`{text}`) || '}}'"
     wrapped = (
-        f"from_json('{{\"items\":[' || `{text}` || ',{{\"{_CHECK}\":' || xxhash64(`{text}`) || '}}]}}',"
+        f"from_json('{{\"items\":[' || {mark} || ',' || `{text}` || ',' || {mark} || ']}}',"
         f" 'items array<struct<{fields}, `{_CHECK}` bigint>>, _corrupt string', {_OPTIONS})"
     )
     df = df.withColumn("_json", F.expr(wrapped)).withColumns(
         {
             "_one": F.expr(
-                f"_json._corrupt is null and size(_json.items) = 2"
-                f" and _json.items[1].`{_CHECK}` <=> xxhash64(`{text}`)"
+                f"_json._corrupt is null and size(_json.items) = 3"
+                f" and _json.items[0].`{_CHECK}` <=> xxhash64(`{text}`)"
+                f" and _json.items[2].`{_CHECK}` <=> xxhash64(`{text}`)"
             ),
-            "_item": F.expr("_json.items[0]"),
+            "_item": F.expr("_json.items[1]"),
         }
     )
     checks, leaves, times, values = ["_one"], {}, {}, []

@@ -18,9 +18,19 @@ SALTS = 32
 def fits_broadcast(
     dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
-    """Count at most ``max_rows + 1`` rows and their text size."""
+    """Count at most ``max_rows + 1`` rows and their text size.
+
+    A dimension object keeps the answer: further joins with it count nothing.
+    """
     max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    known = vars(dim).setdefault("_fits_broadcast", {})
+    if (max_rows, max_bytes) not in known:
+        known[max_rows, max_bytes] = _fits(dim, max_rows, max_bytes)
+    return known[max_rows, max_bytes]
+
+
+def _fits(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
     width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns])))
     found = (
         dim.limit(max_rows + 1)
@@ -48,13 +58,14 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters facts: left or inner")
     names = {c: f"_dim_{c}" for c in on}
+    fits = fits_broadcast(dim, max_rows)
     dim = dim.withColumnsRenamed(names)
     matches = F.lit(True)
     for c in on:
         matches = matches & (F.col(c) == F.col(names[c]))
     if residual is not None:
         matches = matches & residual
-    if fits_broadcast(dim, max_rows):
+    if fits:
         return facts.join(F.broadcast(dim), matches, how).drop(*names.values())
     facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     dim = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

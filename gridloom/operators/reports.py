@@ -44,14 +44,19 @@ def group_reports(items: DataFrame, alerts: DataFrame, subscriptions: DataFrame)
     """Report items for each group that subscribed to them.
 
     ``condition`` is ``always`` or ``peak_alert``; with the latter a group gets the
-    items of a location only when that location had a peak alert.
+    items of a location only when that location had a peak alert.  Any other
+    condition fails the query instead of sending nothing.
     """
     alerted = alerts.select("location_id").distinct().withColumn("_alerted", F.lit(True))
     spread = ["location_id", "item_time", "kind"]
     wanted = lookup_join(items, subscriptions, ["report"], spread, "inner")
     # At most one row per location; counting it beforehand would compute it twice.
     marked = wanted.join(alerted, "location_id", "left")
-    due = (F.col("condition") == "always") | (
-        (F.col("condition") == "peak_alert") & F.coalesce("_alerted", F.lit(False))
+    condition = F.col("condition")
+    unknown = F.raise_error(F.concat(F.lit("unknown condition "), F.coalesce(condition, F.lit("NULL"))))
+    due = (
+        F.when(condition == "always", True)
+        .when(condition == "peak_alert", F.coalesce("_alerted", F.lit(False)))
+        .otherwise(unknown.cast("boolean"))
     )
     return marked.where(due).select("report_group", *ITEM)

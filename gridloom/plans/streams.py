@@ -81,9 +81,9 @@ def stream_dedup(m: Meter) -> DataFrame:
     s, path = _stream(m), session.shared_folder(m.spark, "deduplicated")
     copies = F.when(F.col("message_id").cast("bigint") % 10 == 0, 2).otherwise(1)
     twice = s.envelopes.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
-    unique = jobs.without_repeats(twice)
-    _drain(m, unique, tables.batch_sink(path))
-    return tables.read_batches(m.spark, path, unique.schema)
+    seen = session.shared_folder(m.spark, "seen")
+    _drain(m, twice, jobs.unique_batches(seen, tables.batch_sink(path)))
+    return tables.read_batches(m.spark, path, m.parsed.select("message_id", *jobs.REPEAT_KEY).schema)
 
 
 def stream_demand(m: Meter) -> DataFrame:

@@ -67,4 +67,25 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._settled_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a settled table that nothing reads any more."""
+    path = vars(table).pop("_settled_at", None)
+    if path and not remove(table.sparkSession, path):
+        raise OSError(f"could not remove {path}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; false if it is still there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(where, True) or not files.exists(where)

@@ -6,11 +6,13 @@ batch twice leaves one copy, so a micro-batch can be repeated after a failure.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from gridloom import session
 from gridloom.operators.archive import BATCH_THRESHOLD, OBJECT_PREFIX
 from gridloom.operators.ordering import spread_write
 from gridloom.schemas import ARCHIVE_PARTITIONS
@@ -21,17 +23,32 @@ Sink = Callable[[DataFrame, int], None]
 PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
 
 
+# Lines per file of a bulk load; the job that follows a stream writes its threshold.
+BULK_LINES = 100_000
+
+
+def run_of(df: DataFrame) -> str:
+    """What tells the batches of one streaming query from those of any other.
+
+    Spark keeps a query's id in its checkpoint, so a restart goes on under the same
+    id and a new checkpoint gets a new one.
+    """
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def batch_sink(path: str, partition_by: Sequence[str] = ()) -> Sink:
-    """Parquet below ``batch_id=N``; a repeated batch replaces its own folder.
+    """Parquet below ``run=ID/batch_id=N``; a repeated batch replaces its own folder.
 
-    All exits of a batch go out in one write, partitioned by their columns, so
+    Batches of another query, or of the same job with a new checkpoint, stay.  All exits of a batch go out in one write, partitioned by their columns, so
     either every exit of the batch is committed or none.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         if partition_by:
             df = spread_write(df, list(partition_by))
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(
+            f"{path}/run={run_of(df)}/batch_id={batch_id}"
+        )
 
     return write
 
@@ -84,18 +101,21 @@ def archive_path(root: str, prefix: str = OBJECT_PREFIX) -> str:
 
 
 def write_archive(
-    records: DataFrame, path: str, threshold: int = BATCH_THRESHOLD, mode: str = "append"
+    records: DataFrame, path: str, threshold: int = BULK_LINES, batch: str | None = None
 ) -> None:
     """Gzipped JSON lines by day and location, at most ``threshold`` lines per file.
 
-    The default threshold makes small files; give a larger one for large loads.
-    A location with very many records is split over tasks before the write.
+    A load of the same ``batch`` replaces its own files; without a name it is a load
+    of its own.  A location with very many records is split over tasks before the
+    write.
     """
     parts = ARCHIVE_PARTITIONS.names
     lines = spread_write(records.select("line", *parts), parts)
     (
-        lines.write.mode(mode)
-        .partitionBy(*parts)
+        lines.withColumn("batch", F.lit(batch or f"load-{uuid.uuid4().hex}"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts, "batch")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", threshold)
         .text(path)
@@ -103,10 +123,10 @@ def write_archive(
 
 
 def archive_sink(path: str, threshold: int = BATCH_THRESHOLD) -> Sink:
-    """Archive lines of a micro-batch; a repeated batch replaces its own files."""
+    """Archive lines of a micro-batch, in the same folders as a bulk load's."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        write_archive(df, f"{path}/batch_id={batch_id}", threshold, mode="overwrite")
+        write_archive(df, path, threshold, f"{run_of(df)}-{batch_id}")
 
     return write
 
@@ -144,9 +164,7 @@ def expire_archive(
     days = candidates.select("year", "month", "day").distinct().orderBy("year", "month", "day")
     folders = [f"{path}/year={r.year}/month={r.month}/day={r.day}" for r in days.toLocalIterator()]
     if act:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for folder in folders:
-            target = jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(conf).delete(target, True)
+            if not session.remove(spark, folder):
+                raise OSError(f"could not remove {folder}")
     return folders

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridloom import session
 from gridloom.schemas import ARCHIVE_PARTITIONS, ENVELOPE, REGISTRY
 
 
@@ -42,7 +44,24 @@ def kafka_stream(
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
-    """Kafka's columns as an envelope; partition and offset identify a message."""
+    """Kafka's columns as an envelope; partition and offset identify a message.
+
+    Headers, if asked for, become the attribute map that the sink made them from.
+    """
+    attributes = []
+    if "headers" in records.columns:
+        entries = F.transform(
+            F.col("headers"), lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))
+        )
+        # A repeated header counts once, the last one.
+        distinct = F.aggregate(
+            entries,
+            F.create_map().cast("map<string,string>"),
+            lambda all_, e: F.map_concat(
+                F.map_filter(all_, lambda k, _: ~k.eqNullSafe(e["key"])), F.create_map(e["key"], e["value"])
+            ),
+        )
+        attributes = [F.coalesce(distinct, F.create_map().cast("map<string,string>")).alias("attributes")]
     return records.select(
         F.concat_ws("-", F.col("partition").cast("string"), F.col("offset").cast("string")).alias(
             "message_id"
@@ -50,6 +69,7 @@ def from_kafka(records: DataFrame) -> DataFrame:
         "topic",
         F.col("value").cast("string").alias("payload"),
         F.col("timestamp").alias("publish_time"),
+        *attributes,
     )
 
 
@@ -66,9 +86,10 @@ def device_registry(table: DataFrame) -> DataFrame:
 class RegistrySnapshot:
     """Registry data that is at most ``ttl`` seconds old.
 
-    A stream asks for it once per micro-batch.  When a reload fails, the last
-    good data is kept; a device that was not found is looked up again in the
-    next batch, as misses are never remembered.
+    A stream asks for it once per micro-batch.  What is loaded is written to the
+    shared folder, so it can be read whatever becomes of its source.  When a reload
+    fails, the last good data is kept; a device that was not found is looked up again
+    in the next batch, as misses are never remembered.
     """
 
     def __init__(
@@ -79,18 +100,22 @@ class RegistrySnapshot:
     ):
         self._load, self._ttl, self._clock = load, ttl, clock
         self._data: DataFrame | None = None
+        self._before: DataFrame | None = None
         self._loaded_at = 0.0
 
     def get(self) -> DataFrame:
         now = self._clock()
         if self._data is None or now - self._loaded_at >= self._ttl:
             try:
-                fresh = self._load()
+                fresh = session.settle(self._load(), "registry")
             except Exception:
                 if self._data is None:
                     raise
                 return self._data
-            self._data, self._loaded_at = fresh, now
+            # The one before may still be read by the batch that asked for it.
+            if self._before is not None:
+                session.discard(self._before)
+            self._before, self._data, self._loaded_at = self._data, fresh, now
         return self._data
 
 
@@ -103,11 +128,16 @@ def read_archive(
 ) -> DataFrame:
     """Archived records of a range of days (ISO dates, both included).
 
-    The filters touch partition columns only, so other days and locations are
-    never listed into the scan.  Payloads stay text.
+    Only the folders of these days are listed, and of those only the location's are
+    scanned.  Payloads stay text.
     """
     parts = ", ".join(f"{f.name} string" for f in ARCHIVE_PARTITIONS.fields)
-    lines = spark.read.schema(f"value string, {parts}").text(path)
+    first, last = date.fromisoformat(first_day), date.fromisoformat(last_day)
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    folders = [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    folders = [folder for folder in folders if session.exists(spark, folder)]
+    reader = spark.read.schema(f"value string, {parts}").option("basePath", path)
+    lines = reader.text(folders) if folders else spark.createDataFrame([], f"value string, {parts}")
     day = F.concat_ws("-", "year", "month", "day")
     lines = lines.where((day >= first_day) & (day <= last_day))
     if location is not None:
@@ -124,7 +154,7 @@ def read_archive(
 def archived_payload(line):
     """The payload exactly as archived: from its key up to the last field."""
     return F.regexp_extract(
-        line, r'"original_pubsub_payload":(.*),"archived_at":"[^"]*"\}$', 1
+        line, r'(?s)"original_pubsub_payload":(.*),"archived_at":"[^"]*"\}\z', 1
     )
 
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridloom import session
 from gridloom.operators import archive, decode, parse, route, usage
 from gridloom.operators.ordering import spread_small
+from gridloom.sinks import tables
 from gridloom.sinks.tables import Sink
 from gridloom.sources.landed import RegistrySnapshot
 
@@ -72,21 +74,58 @@ def archive_batches(sink: Sink, archived_at: Column | None = None) -> Sink:
     )
 
 
-def without_repeats(envelopes: DataFrame, keep_for: str = "1 hour") -> DataFrame:
-    """Drop a message sent again within ``keep_for``.  Off unless a job asks for it.
+REPEAT_KEY = ["device_eui", "message_timestamp", "raw_payload"]
 
-    Messages are the same when device, time and payload are.  State is kept only
-    as long as the watermark allows.
+
+def unique_batches(
+    seen: str, sink: Sink, repeats: Sink | None = None, keep_for: str = "1 hour"
+) -> Sink:
+    """Raw messages with those sent again within ``keep_for`` taken out.  Off unless a job asks.
+
+    Messages are the same when device, time and payload are, and are compared by
+    the transport's publish time.  Every parsed message goes to ``sink`` or to
+    ``repeats``: there is no watermark, so none is refused for its time, whatever
+    its device's clock says.  What was seen is kept by day in the folder ``seen``; a
+    batch reads the days around its own and leaves out what it wrote itself before
+    a failure.  Messages without a publish time are never repeats.
     """
-    key = ["device_eui", "message_timestamp", "raw_payload"]
-    return (
-        parse.parse_messages(envelopes)
-        .where("parsed")
-        .withColumn("event_time", F.coalesce("message_timestamp", "publish_time"))
-        .withWatermark("event_time", keep_for)
-        .dropDuplicatesWithinWatermark(key)
-        .select("message_id", *key)
-    )
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark, run = df.sparkSession, tables.run_of(df)
+        key = F.sha2(F.to_json(F.struct(*REPEAT_KEY), {"ignoreNullFields": "false"}), 256)
+        rows = parse.parse_messages(df).where("parsed").select(
+            "message_id",
+            *REPEAT_KEY,
+            "publish_time",
+            key.alias("message_key"),
+            F.to_date("publish_time").alias("seen_day"),
+        )
+        rows = session.settle(rows, "batch")
+        span, at = F.expr(f"interval {keep_for}"), F.col("publish_time")
+        before = F.lag(at).over(Window.partitionBy("message_key").orderBy(at, "message_id"))
+        marked = rows.withColumn("again", F.coalesce(at <= before + span, F.lit(False)))
+        low, high = rows.agg(F.min(at - span).cast("date"), F.max(at + span).cast("date")).first()
+        if low is not None and session.exists(spark, seen):
+            columns = "message_key string, publish_time timestamp, run string, batch_id long, seen_day date"
+            earlier = (
+                spark.read.schema(columns).option("basePath", seen).parquet(seen)
+                .where((F.col("run") != run) | (F.col("batch_id") < batch_id))
+                .where(F.col("seen_day").between(low, high))
+                .select(F.col("message_key").alias("_key"), F.col("publish_time").alias("_at"))
+            )
+            near = (F.col("message_key") == F.col("_key")) & (at >= F.col("_at") - span) & (at <= F.col("_at") + span)
+            known = rows.join(earlier, near, "left_semi").select("message_id", "message_key", F.lit(True).alias("_known"))
+            marked = marked.join(known.distinct(), ["message_id", "message_key"], "left").withColumn(
+                "again", F.col("again") | F.coalesce("_known", F.lit(False))
+            )
+        out = ["message_id", *REPEAT_KEY]
+        sink(marked.where(~F.col("again")).select(*out), batch_id)
+        if repeats is not None:
+            repeats(marked.where("again").select(*out), batch_id)
+        tables.batch_sink(seen, ["seen_day"])(rows.select("message_key", "publish_time", "seen_day"), batch_id)
+        session.discard(rows)
+
+    return write
 
 
 def latest_demand(readings: DataFrame) -> DataFrame:
@@ -101,13 +140,45 @@ def newest_rows(batches: DataFrame, key: str) -> DataFrame:
     return batches.groupBy(key).agg(newest).select(key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+def with_clock(
+    readings: DataFrame,
+    late_by: str = "1 hour",
+    ahead_by: str = "5 minutes",
+    disorder: str = "5 minutes",
+) -> DataFrame:
+    """Add ``clock``: whether a reading's own time fits the transport's.
+
+    ``ahead`` is over ``ahead_by`` after its publish time, ``late`` so long before
+    it that a watermark ``late_by`` behind might refuse it, given that clocks run
+    ahead and that the transport delivers up to ``disorder`` out of order; ``none``
+    has no time.  All others are ``in_time``.  A row's clock depends on the row only.
+    """
+    sent, at = F.col("upstream_ingestion_timestamp"), F.col("original_mqtt_time")
+    oldest = sent - F.expr(f"interval {late_by}") + F.expr(f"interval {ahead_by}") + F.expr(f"interval {disorder}")
+    return readings.withColumn(
+        "clock",
+        F.when(at.isNull() | sent.isNull(), "none")
+        .when(at > sent + F.expr(f"interval {ahead_by}"), "ahead")
+        .when(at < oldest, "late")
+        .otherwise("in_time"),
+    )
+
+
+def out_of_time(readings: DataFrame, **clock: str) -> DataFrame:
+    """The readings that ``peak_alerts`` leaves out, for a table of their own."""
+    return with_clock(readings, **clock).where("clock <> 'in_time'")
+
+
 def peak_alerts(
-    readings: DataFrame, thresholds: DataFrame, late_by: str = "1 hour", share: float = 0.8
+    readings: DataFrame, thresholds: DataFrame, late_by: str = "1 hour", share: float = 0.8, **clock: str
 ) -> DataFrame:
     """Alerts of closed intervals, each sent once (append mode).
 
-    An interval is judged when the watermark has passed its end, so a message up
-    to ``late_by`` late still counts.
+    An interval is judged when the watermark has passed its end; the last intervals
+    stay open until a later message closes them.  Readings whose time does not fit
+    their publish time would move the watermark or be refused by it; they are not
+    counted here but found by ``out_of_time``.
     """
-    in_time = readings.withWatermark("original_mqtt_time", late_by)
+    in_time = with_clock(readings, late_by, **clock).where("clock = 'in_time'").drop("clock")
+    in_time = in_time.withWatermark("original_mqtt_time", late_by)
     return usage.peak_alerts(usage.intervals(in_time, ["location_id"]), thresholds, share)

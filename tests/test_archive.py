@@ -70,7 +70,7 @@ def test_files_and_read_back(spark, tmp_path):
     records = archive.archive_records(routes(spark, *rows), F.col("publish_time"))
     tables.write_archive(records, path, threshold=10)
 
-    files = glob.glob(f"{path}/year=2023/month=11/day=15/location=LOC01/*.gz")
+    files = glob.glob(f"{path}/year=2023/month=11/day=15/location=LOC01/batch=*/*.gz")
     sizes = [len(gzip.open(f).read().splitlines()) for f in files]
     assert sum(sizes) == 25 and max(sizes) <= 10
     lines = [json.loads(x) for f in files for x in gzip.open(f, "rt")]
@@ -88,6 +88,26 @@ def test_files_and_read_back(spark, tmp_path):
     assert all(column in filters for column in ("year", "month", "day", "location"))
 
 
+@pytest.mark.parametrize("odd", ["\x85", "\u2028", "\u2029", "é漢🙂", '\\"}', '","archived_at":"x'])
+def test_any_text_is_read_back(spark, tmp_path, odd):
+    row = record(1, f"D{odd}", "L")
+    text = json.dumps(json.loads(row[1]), ensure_ascii=False)
+    path = tables.archive_path(str(tmp_path))
+    records = archive.archive_records(routes(spark, ("1", text, DAY)), F.col("publish_time"))
+    tables.write_archive(records, path)
+    (kept,) = landed.read_archive(spark, path, "2023-11-14", "2023-11-16").collect()
+    assert kept.original_pubsub_payload == text and kept.device_eui == f"D{odd}"
+    assert landed.read_archive(spark, path, "2023-11-16", "2023-11-16").collect() == []
+
+
+def test_a_named_load_replaces_itself(spark, tmp_path):
+    path = tables.archive_path(str(tmp_path))
+    records = archive.archive_records(routes(spark, *GOLDEN), F.col("publish_time"))
+    for batch in ("a", "a", "b"):
+        tables.write_archive(records, path, batch=batch)
+    assert landed.read_archive(spark, path, "2023-11-15", "2023-11-15").count() == 2 * records.count()
+
+
 def test_expiry_reports_first_and_acts_when_told(spark, tmp_path):
     rows = [record(i, "D", "L", when=DAY + timedelta(days=d)) for i, d in enumerate([0, 0, 5, 10])]
     path = tables.archive_path(str(tmp_path))

@@ -213,3 +213,10 @@ def test_groups_get_what_they_subscribed_to(spark):
     subs = spark.sql("select * from values ('x','usage','peak_alert'),('y','cost','always') t(report_group, report, condition)")
     got = sorted((r.report_group, r.location_id) for r in reports.group_reports(items, alerts, subs).collect())
     assert got == [("x", "L2"), ("y", "L1")]
+
+
+def test_an_unknown_condition_fails(spark):
+    items = spark.sql("select 'usage' report, 'L1' location_id, timestamp'2024-01-01' item_time, 'k' kind, 1.0D value")
+    subs = spark.sql("select 'x' report_group, 'usage' report, 'anomaly' condition")
+    with pytest.raises(Exception, match="unknown condition anomaly"):
+        reports.group_reports(items, spark.sql("select 'L2' location_id"), subs).collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import joins, parse, route
 from gridloom.schemas import ENVELOPE, REGISTRY
+from gridloom.sinks import tables
 from gridloom.sources.landed import RegistrySnapshot, device_registry, from_kafka
 
 T0 = datetime(2023, 10, 26, 10, 0, 0)
@@ -185,25 +186,34 @@ def test_registry_has_one_row_per_device(spark):
     assert [tuple(r) for r in device_registry(twice).collect()] == [("D", "c2", "l2", "x")]
 
 
-def test_snapshot_reloads_after_its_ttl_and_survives_failures():
-    loads, now = [], [0.0]
+def test_snapshot_holds_data_reloads_and_survives_failures(spark, tmp_path):
+    now, path = [0.0], str(tmp_path / "registry")
+
+    def replace(*devices):
+        rows = [(d, "c", "l", "x") for d in devices]
+        spark.createDataFrame(rows, REGISTRY).write.mode("overwrite").parquet(path)
 
     def load():
-        loads.append(now[0])
         if now[0] == 20:
             raise OSError("registry away")
-        return f"data{len(loads)}"
+        return spark.read.schema(REGISTRY).parquet(path)
+
+    def devices():
+        return sorted(r.device_eui for r in snapshot.get().collect())
 
     snapshot = RegistrySnapshot(load, ttl=10, clock=lambda: now[0])
-    assert snapshot.get() == "data1"
+    replace("D1")
+    assert devices() == ["D1"]
+    replace("D1", "D2")  # the files that were loaded are gone
     now[0] = 9
-    assert snapshot.get() == "data1"
+    assert devices() == ["D1"]
     now[0] = 10
-    assert snapshot.get() == "data2"
+    assert devices() == ["D1", "D2"]
+    replace("D3")
     now[0] = 20
-    assert snapshot.get() == "data2"
+    assert devices() == ["D1", "D2"]
     now[0] = 21
-    assert snapshot.get() == "data4" and loads == [0, 10, 20, 21]
+    assert devices() == ["D3"]
 
 
 def test_snapshot_needs_a_first_load():
@@ -214,6 +224,42 @@ def test_snapshot_needs_a_first_load():
         RegistrySnapshot(load).get()
 
 
+def test_kafka_headers_become_attributes(spark):
+    records = spark.createDataFrame(
+        [("k", "{}", {"device_eui": "D1", "category": "é"}), ("l", "{}", {})],
+        "message_id string, payload string, attributes map<string,string>",
+    )
+    sent = tables.to_kafka(records).select(
+        F.col("value").cast("binary"), "headers", F.lit("t").alias("topic"), F.lit(3).alias("partition"),
+        F.col("key").alias("offset"), F.lit(T0).alias("timestamp"),
+    )
+    got = {r.message_id: r.attributes for r in from_kafka(sent).collect()}
+    assert got == {"3-k": {"device_eui": "D1", "category": "é"}, "3-l": {}}
+    twice = "array(named_struct('key', 'a', 'value', cast('1' as binary)), named_struct('key', 'a', 'value', cast('2' as binary)))"
+    (row,) = from_kafka(sent.limit(1).withColumn("headers", F.expr(twice))).collect()
+    assert row.attributes == {"a": "2"}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"a":1}],"items":[{"device_info":{"device_eui":"B"}}',
+        '{"device_info":{"device_eui":"C"}}],"items":[{}',
+        '{"device_info":{"device_eui":"C"}}],"items":[{},{}',
+        '{"device_info":{"device_eui":"C"}}],"other":[{}',
+        '{"device_info":{"device_eui":"C"}},{"device_info":{}}',
+        '{"device_info":{"device_eui":"C"}}]',
+        '],"items":[{"device_info":{"device_eui":"C"}}',
+        '{"device_info":{"device_eui":"C"}}]},{"items":[{}',
+        '{"device_info":{"device_eui":["C"]}}',
+        '{"device_info":{"device_eui":"C"}}}',
+    ],
+)
+def test_text_cannot_close_its_frame(spark, text):
+    rows = spark.createDataFrame([("1", "t", text, T0)], ENVELOPE)
+    assert not parse.parse_messages(rows).first().parsed
+
+
 def test_kafka_columns(spark):
     rows = spark.sql(
         "select cast('{}' as binary) value, 't' topic, 3 partition, 7L offset, timestamp'2024-01-01' timestamp"

@@ -1,10 +1,13 @@
 """Streaming jobs against their batch twins, in pieces and after a restart."""
 
 import json
+import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridloom.operators import archive, decode, route, usage
 from gridloom.plans.meter import Meter
@@ -79,24 +82,111 @@ def test_archive_equals_batch(spark, land, tmp_path):
     def topics(df):
         return route.topic_records(route.route(df, m.registry, F.col("publish_time")))
 
-    stream = landed.landed_envelope_stream(spark, folder, "json", 3)
-    jobs.start(stream, jobs.per_batch(topics, sink), f"{tmp_path}/checkpoint").awaitTermination()
-    want = archive.archive_records(archive.archive_routes(route.topic_records(m.routed)), F.col("publish_time"))
+    def run():
+        stream = landed.landed_envelope_stream(spark, folder, "json", 3)
+        jobs.start(stream, jobs.per_batch(topics, sink), f"{tmp_path}/checkpoint").awaitTermination()
+
+    run()
+    routes = archive.archive_routes(route.topic_records(m.routed))
+    want = archive.archive_records(routes, F.col("publish_time"))
     got = spark.read.option("basePath", path).text(path).select("value")
     assert rows(got) == rows(want.select(F.col("line").alias("value")))
+    # The age rule finds and removes what the stream wrote, days and all.
+    due = archive.retention_candidates(want, F.lit("2024-01-20").cast("timestamp"), 10)
+    assert tables.expire_archive(spark, path, due, act=True)
+    left = landed.read_archive(spark, path, "2024-01-01", "2024-01-31")
+    kept = want.where("publish_time >= timestamp'2024-01-11'")
+    assert left.count() == kept.count() > 0
 
 
-def test_repeats_are_dropped_across_batches(spark, land, tmp_path):
-    m, folder = land
-    spark.read.schema(m.envelopes.schema).json(folder).where("message_id % 7 = 0").write.json(
-        f"{tmp_path}/landed/again"
+def messages(folder, *files):
+    """Landed files, one micro-batch each, of (id, device, device time, publish time)."""
+    folder.mkdir()
+    for n, lines in enumerate(files):
+        text = "".join(
+            json.dumps({
+                "message_id": i, "topic": "t", "publish_time": sent,
+                "payload": json.dumps({"device_info": {"device_eui": eui}, "raw_payload": "00", "message_timestamp": at}),
+            }) + "\n"
+            for i, eui, at, sent in lines
+        )
+        (folder / f"{n}.json").write_text(text)
+        os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    return str(folder)
+
+
+def test_each_message_is_passed_or_a_repeat(spark, tmp_path):
+    """A clock years ahead, out of order and old messages, a failure: none is lost."""
+    t = "2024-01-01T0{}:00:00Z".format
+    folder = messages(
+        tmp_path / "landed",
+        [("1", "A", "2031-01-01T00:00:00Z", t(1)), ("2", "A", t(1), t(1)), ("3", "A", t(1), t(1))],
+        [("4", "B", t(1), t(2)), ("5", "A", t(1), "2024-01-01T01:30:00Z")],
+        [("6", "A", t(1), t(5)), ("7", "C", "2019-01-01T00:00:00Z", t(2))],
+        [("8", "C", "2019-01-01T00:00:00Z", "2024-01-01T01:30:00Z"), ("9", "D", t(1), "2023-12-01T00:00:00Z")],
+        [("10", "A", t(1), t(1)), ("11", "E", t(1), t(9))],
     )
-    spark.read.schema(m.envelopes.schema).json(folder).write.json(f"{tmp_path}/landed/first")
-    stream = landed.landed_envelope_stream(spark, f"{tmp_path}/landed/*", "json", 1)
-    unique = jobs.without_repeats(stream, "60 days")
-    jobs.start(unique, tables.batch_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint").awaitTermination()
-    got = tables.read_batches(spark, f"{tmp_path}/out", unique.schema)
-    assert got.count() == m.parsed.where("parsed").count()
+    out, again, failed = f"{tmp_path}/out", f"{tmp_path}/again", []
+
+    def failing(df, batch_id):
+        tables.batch_sink(again)(df, batch_id)
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def run():
+        stream = landed.landed_envelope_stream(spark, folder, "json", 1)
+        jobs.start(stream, jobs.unique_batches(f"{tmp_path}/seen", tables.batch_sink(out), failing), f"{tmp_path}/checkpoint").awaitTermination()
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    run()
+    ids = lambda path: sorted(int(r.message_id) for r in tables.read_batches(spark, path, StructType().add("message_id", "string")).collect())
+    assert ids(out) == [1, 2, 4, 6, 7, 9, 11]
+    assert ids(again) == [3, 5, 8, 10]
+
+
+def test_a_new_checkpoint_leaves_the_old_rows(spark, land, tmp_path):
+    m, folder = land
+    sink = tables.batch_sink(f"{tmp_path}/out")
+    for checkpoint in ("a", "b", "b"):
+        stream = landed.landed_envelope_stream(spark, folder, "json", 2)
+        jobs.start(stream, sink, f"{tmp_path}/{checkpoint}").awaitTermination()
+    got = spark.read.option("basePath", f"{tmp_path}/out").parquet(f"{tmp_path}/out")
+    assert got.select("run").distinct().count() == 2
+    assert got.groupBy("run").count().select("count").distinct().collect() == [(1000,)]
+
+
+def hourly(spark, tmp_path, wild):
+    """Readings above the threshold, one an hour and file; ``wild`` ones have odd clocks."""
+    folder = tmp_path / f"readings{len(wild)}"
+    schema = METER_READING
+    for n in range(8):
+        at = datetime(2024, 1, 1, n)
+        times = [(at, "in")] + ([(datetime(2031, 1, 1), "w"), (datetime(2020, 1, 1), "w"), (None, "w")] if n in wild else [])
+        rows = [
+            tuple({"reading": 100.0, "location_id": "L", "device_eui": d, "original_mqtt_time": t,
+                   "upstream_ingestion_timestamp": at}.get(f.name) for f in schema.fields)
+            for t, d in times
+        ]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        time.sleep(0.05)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_odd_clocks_stop_no_alert(spark, tmp_path):
+    limit = spark.sql("select '*' location_id, 64.0D threshold_kwh")
+    found = {}
+    for wild in ((), (0, 3, 6)):
+        stream, out = hourly(spark, tmp_path, wild), f"{tmp_path}/out{len(wild)}"
+        alerts = jobs.peak_alerts(stream, limit)
+        jobs.start(alerts, tables.batch_sink(out), f"{out}-checkpoint").awaitTermination()
+        found[wild] = rows(tables.read_batches(spark, out, alerts.schema))
+        odd = jobs.out_of_time(stream)
+        jobs.start(odd, tables.batch_sink(f"{out}-odd"), f"{out}-odd-checkpoint").awaitTermination()
+        got = tables.read_batches(spark, f"{out}-odd", odd.schema).groupBy("clock").count().collect()
+        assert {r.clock: r["count"] for r in got} == ({"ahead": 3, "late": 3, "none": 3} if wild else {})
+    assert len(found[()]) == 6 and found[()] == found[(0, 3, 6)]
 
 
 def reading_files(spark, land, max_files):

@@ -23,14 +23,13 @@ itself.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridloom.llm.common import Scratch, batches, keyed, table, utf8
+from gridloom.functions.once import add_once
+from gridloom.llm.common import Scratch, table
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -40,7 +39,6 @@ BLOCKED = 0.95
 MAX_BROADCAST_HOSTS = 100_000
 
 _NOT_SYMBOL = bytes(b for b in range(256) if b not in SYMBOLS)
-_CONTINUED = re.compile(rb"[\x80-\xBF]")
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -70,17 +68,19 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
-def _measures(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
-        measured = []
-        for text in utf8(batch.column("text")):
-            lines = sum(1 for line in text.split(b"\n") if line.strip())
-            measured.append((*measure(text), lines))
-        columns = [pa.array(c, pa.int64()) for c in zip(*measured, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_key"), batch.column("doc_id"), batch.column("source"), *columns],
-            ["_key", "doc_id", "source", *_MEASURES],
-        )
+def _measured(texts: pa.Array) -> pa.Array:
+    found = []
+    for value in texts.cast(pa.binary()):  # one text at a time; only counts are held
+        text = value.as_py() or b""
+        found.append((*measure(text), sum(1 for line in text.split(b"\n") if line.strip())))
+    columns = zip(*found, strict=True) if found else [[]] * len(_MEASURES)
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], _MEASURES)
+
+
+def _with_measures(docs: DataFrame, text: str) -> DataFrame:
+    """Add ``_measures``, computed once per row whatever later filters ask of it."""
+    measures = F.arrow_udf(_measured, ", ".join(f"{name} bigint" for name in _MEASURES))
+    return add_once(docs, {"_measures": measures(F.col(text))})
 
 
 #: Failures of a measured document; all but the first are weak signs.
@@ -116,19 +116,12 @@ def host_rates(measured: DataFrame) -> DataFrame:
     return out.select("source", "n", *[f"{rule}_rate" for rule in rules])
 
 
-def judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents (_key, _row) and their measures with ``base_failed`` and ``kept``."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    rows = keyed(docs, scratch)
-    texts = rows.select("_key", *[F.col(f"_row.{c}").alias(c) for c in ("doc_id", "source", "text")])
-    schema = f"_key long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, source string, "
-    measured = texts.withColumn("source", F.col("source").cast("string")).mapInArrow(
-        _measures, schema + ", ".join(f"{name} long" for name in _MEASURES)
-    )
-    measured = scratch.settle(measured.withColumns({rule: F.expr(text) for rule, text in RULES.items()}))
+def _verdicts(measured: DataFrame, scratch: Scratch) -> DataFrame:
+    """Hosts with a verdict against them: ``_blocked``, and ``_suspect_`` per weak rule."""
     verdicts = scratch.settle(
         host_rates(measured)
         .select(
+            # A null key would lose the host's verdict in the join.
             F.coalesce("source", F.lit("")).alias("_host"),
             F.col("source").isNull().alias("_unnamed"),
             (F.col("base_failed_rate") >= BLOCKED).alias("_blocked"),
@@ -136,30 +129,48 @@ def judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .where(" or ".join(["_blocked", *[f"_suspect_{rule}" for rule in WEAK]]))
     )
-    if verdicts.count() <= MAX_BROADCAST_HOSTS:
-        verdicts = F.broadcast(verdicts)
-    # No null keys: with a null source the join would drop the host's verdict.
-    host = measured.withColumns(
-        {"_host": F.coalesce("source", F.lit("")), "_unnamed": F.col("source").isNull()}
-    )
+    return F.broadcast(verdicts) if verdicts.count() <= MAX_BROADCAST_HOSTS else verdicts
+
+
+def _judged(ruled: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Add ``_kept`` to documents with their source and rules."""
     against = F.coalesce("_blocked", F.lit(False))
     for rule in WEAK:
         against |= F.coalesce(f"_suspect_{rule}", F.lit(False)) & F.col(rule)
-    found = host.join(verdicts, ["_host", "_unnamed"], "left").select(
-        "_key", "doc_id", *_MEASURES[:5], "base_failed", (~F.col("base_failed") & ~against).alias("kept")
-    )
-    return rows, found
+    host = ruled.withColumns({"_host": F.coalesce("source", F.lit("")), "_unnamed": F.col("source").isNull()})
+    return host.join(verdicts, ["_host", "_unnamed"], "left").withColumn("_kept", ~F.col("base_failed") & ~against)
+
+
+def _ruled(docs: DataFrame, *carried: Column) -> DataFrame:
+    """``carried`` columns, source, measures and rules of documents (_row)."""
+    texts = docs.select(*carried, F.col("_row.source").cast("string").alias("source"), F.col("_row.text").alias("_text"))
+    measured = _with_measures(texts, "_text").drop("_text").select("*", "_measures.*").drop("_measures")
+    return measured.withColumns({rule: F.expr(text) for rule, text in RULES.items()})
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """All columns inside ``_row``, where no name of theirs can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every document."""
-    return judged(docs.select("doc_id", "source", "text"))[1].drop("_key")
+    scratch = Scratch(docs.sparkSession, "quality")
+    ruled = scratch.settle(_ruled(_packed(docs), F.col("_row.doc_id").alias("doc_id")))
+    judged = _judged(ruled, _verdicts(ruled, scratch))
+    return judged.select("doc_id", *_MEASURES[:5], "base_failed", F.col("_kept").alias("kept"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    rows, found = judged(docs)
-    return rows.join(found.where("kept").select("_key"), "_key", "left_semi").select("_row.*")
+    """The documents that stay, with all their columns.
+
+    Texts are measured twice, for their host and for themselves, so that they never
+    move: only the verdicts are sent to them.
+    """
+    scratch = Scratch(docs.sparkSession, "quality")
+    rows = _packed(docs)
+    verdicts = _verdicts(scratch.settle(_ruled(rows)), scratch)
+    return _judged(_ruled(rows, F.col("_row")), verdicts).where("_kept").select("_row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

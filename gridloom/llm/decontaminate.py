@@ -226,7 +226,9 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     rows, judged = _judged(docs, items, scratch)
-    return rows.join(judged.where("contaminated").select("_key"), "_key", "left_anti").select("_row.*")
+    # Written, so Spark knows how few they are and need not move the texts.
+    bad = scratch.settle(judged.where("contaminated").select("_key"))
+    return rows.join(bad, "_key", "left_anti").select("_row.*")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

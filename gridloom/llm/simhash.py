@@ -316,7 +316,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")
     firsts = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = firsts.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first._key").alias("_key")), "_key", "left_semi").select("_row.*")
+    # The copies are fewer than the documents that stay: they are what is joined, as a
+    # written table, so Spark knows whether they are few enough to be sent to the texts.
+    copies = scratch.settle(
+        prints.select("_key").join(kept.select(F.col("first._key").alias("_key")), "_key", "left_anti")
+    )
+    return rows.join(copies, "_key", "left_anti").select("_row.*")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,15 +34,16 @@ WINDOW = 256
 SAMPLE = 2400
 ROW_WINDOWS = 4
 EMBEDDED = 8
-WIDTHS = (2, 3, 4, 5)
-FILTERS = 8
+#: Even, so a filter's response is a sum of one number per pair of bytes.
+WIDTHS = (2, 4)
+FILTERS = 16
 STEPS = 400
 BATCH = 64
 RATE = 0.004
 #: Documents are held out of all learning where crc32(doc_id) mod FOLDS is HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
 #: Windows classified at a time.
-TOGETHER = 256
+TOGETHER = 32
 
 _LETTER = re.compile(r"[^\W\d_]")
 _FILL = 256  # the symbol after the 256 bytes
@@ -85,8 +86,33 @@ class Network:
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
         best = [r.max(axis=1) + bias for (_, r), bias in zip(self.responses(windows), self.biases, strict=True)]
+        return self._top(best)
+
+    def _top(self, best: list[np.ndarray]) -> np.ndarray:
         return _softmax(np.maximum(np.concatenate(best, axis=1), 0) @ self.output + self.constant)
 
+    def pair_tables(self) -> list[list[np.ndarray]]:
+        """Per width and pair of places what each two bytes add to the responses."""
+        out = []
+        for width, weights in zip(WIDTHS, self.filters, strict=True):
+            single = [self.embedding @ weights[j * EMBEDDED : (j + 1) * EMBEDDED] for j in range(width)]
+            out.append(
+                [(single[j][:, None] + single[j + 1][None]).reshape(-1, FILTERS) for j in range(0, width, 2)]
+            )
+        return out
+
+    def looked_up(self, windows: np.ndarray, tables: list[list[np.ndarray]]) -> np.ndarray:
+        """The same probabilities, by looking responses up instead of multiplying."""
+        pairs = windows[:, :-1].astype(np.int32) * 257 + windows[:, 1:]
+        best = []
+        for width, parts, bias in zip(WIDTHS, tables, self.biases, strict=True):
+            places = windows.shape[1] - width + 1
+            response = parts[0].take(pairs[:, :places], axis=0)
+            for n, part in enumerate(parts[1:], 1):
+                response += part.take(pairs[:, 2 * n : 2 * n + places], axis=0)
+            best.append(response.max(axis=1) + bias)
+        return self._top(best)
+
     def gradients(self, windows: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         columns, places, best = [], [], []
         for (column, response), bias in zip(self.responses(windows), self.biases, strict=True):
@@ -187,6 +213,7 @@ def fit(docs: DataFrame) -> tuple[list[str], Network] | None:
 
 
 def _predicted(rows: Iterator[pa.RecordBatch], model: tuple[list[str], Network] | None) -> Iterator[pa.RecordBatch]:
+    tables = model[1].pair_tables() if model else []
     for batch in batches(rows, 4 << 20):
         langs, scores = [], []
         texts = utf8(batch.column("text"))
@@ -196,7 +223,7 @@ def _predicted(rows: Iterator[pa.RecordBatch], model: tuple[list[str], Network]
             windows = np.concatenate(cut)
             filled = (windows != _FILL).sum(axis=1)
             found = np.concatenate(
-                [model[1].probabilities(windows[at : at + TOGETHER]) for at in range(0, len(windows), TOGETHER)]
+                [model[1].looked_up(windows[at : at + TOGETHER], tables) for at in range(0, len(windows), TOGETHER)]
             )
             starts = np.cumsum([0, *map(len, cut)])[:-1]
             total = np.add.reduceat(found * filled[:, None], starts, axis=0)

@@ -41,6 +41,14 @@ def test_gradients():
             assert abs((up - down) / 2e-5 - own[i]) < 1e-5
 
 
+def test_tables_give_the_same():
+    draw = np.random.default_rng(4)
+    network = language.Network.fresh(5, draw)
+    windows = draw.integers(0, 257, (9, language.WINDOW)).astype(np.int16)
+    looked_up = network.looked_up(windows, network.pair_tables())
+    assert np.allclose(looked_up, network.probabilities(windows), atol=1e-5)
+
+
 def test_windows_hold_the_whole_text():
     text = ("Àb" * 999).encode()
     windows = language.windows_of(text)

@@ -24,9 +24,14 @@ def energy_rows(readings: DataFrame, kind: str = "interval_kwh") -> DataFrame:
 
     A reading that is not a finite number has NULL energy and ``excluded`` set;
     readings without a time belong to no interval and are left out.
+
+    Every operator on energy takes readings or such rows.  The kind is chosen here:
+    what is made from running meters once is passed on and stays as it is.
     """
     if kind not in READING_KINDS:
         raise ValueError(f"reading kind {kind!r} is none of {READING_KINDS}")
+    if {"at", "kwh", "excluded"} <= set(readings.columns):
+        return readings
     rows = readings.where(F.col("original_mqtt_time").isNotNull()).select(
         *PLACE, F.col("original_mqtt_time").alias("at"), "reading"
     )
@@ -320,19 +325,24 @@ def adjusted_usage(readings: DataFrame, adjustments: DataFrame) -> DataFrame:
     )
 
 
-def daily_star(readings: DataFrame) -> DataFrame:
+def daily_star(readings: DataFrame, kind: str = "interval_kwh") -> DataFrame:
     """One row per device and day with calendar fields, ready for BI tools."""
     day = F.to_date("original_mqtt_time")
     rows = readings.where(F.col("original_mqtt_time").isNotNull() & is_finite(F.col("reading")))
-    return (
-        rows.groupBy(*PLACE, "client_id", day.alias("day"))
-        .agg(
-            F.sum("reading").alias("kwh"),
-            F.count("*").alias("n_readings"),
-            F.max(F.when(is_finite(demand_kw()), demand_kw())).alias("max_demand_kw"),
-        )
-        .select("*", *calendar_columns(F.col("day")))
+    days = rows.groupBy(*PLACE, "client_id", day.alias("day")).agg(
+        F.sum("reading").alias("kwh"),
+        F.count("*").alias("n_readings"),
+        F.max(F.when(is_finite(demand_kw()), demand_kw())).alias("max_demand_kw"),
     )
+    if kind != "interval_kwh":
+        # A device has one client: its energy of a day stands in one row.
+        metered = daily_usage(energy_rows(readings, kind), PLACE)
+        same = [days[c].eqNullSafe(metered[c]) for c in [*PLACE, "day"]]
+        match = same[0] & same[1] & same[2] & same[3]
+        days = days.drop("kwh").join(metered, match, "left").select(
+            *[days[c] for c in [*PLACE, "client_id", "day"]], metered["kwh"], "n_readings", "max_demand_kw"
+        )
+    return days.select("*", *calendar_columns(F.col("day")))
 
 
 def calendar_columns(day: Column) -> list[Column]:

@@ -44,6 +44,24 @@ def energy_cumulative(m: Meter) -> DataFrame:
     return steps.groupBy("device_eui", F.to_date("at").alias("day")).agg(F.sum("kwh").alias("kwh"))
 
 
+def usage_rollup_metered(m: Meter) -> DataFrame:
+    """The same totals from running meters."""
+    return usage.usage_rollup(_metered(m))
+
+
+def cost_report_metered(m: Meter) -> DataFrame:
+    return tariffs.cost_report(_metered(m), _tariffs(m), parameters.charges(_locations(m)))
+
+
+def co2e_metered(m: Meter) -> DataFrame:
+    factors = parameters.factors(m.table("region"))
+    return emissions.co2e(emissions.daily_emissions(_metered(m), _locations(m), factors))
+
+
+def bi_daily_metered(m: Meter) -> DataFrame:
+    return usage.daily_star(m.readings, "cumulative_kwh")
+
+
 def usage_trend(m: Meter) -> DataFrame:
     trend = usage.trend(usage.daily_usage(m.readings), "kwh")
     return trend.withColumn("change_ratio", F.round("change_ratio", 6))
@@ -192,6 +210,11 @@ def _settled(m: Meter) -> DataFrame:
     return session.settle(narrow, "readings")
 
 
+def _metered(m: Meter) -> DataFrame:
+    """Energy of all devices when the readings are taken for running meters'."""
+    return usage.energy_rows(_settled(m), "cumulative_kwh")
+
+
 def _locations(m: Meter) -> DataFrame:
     return parameters.locations(m.table("nation"))
 
@@ -214,6 +237,10 @@ QUERIES = [
     energy_to_date,
     energy_running,
     energy_cumulative,
+    usage_rollup_metered,
+    cost_report_metered,
+    co2e_metered,
+    bi_daily_metered,
     usage_trend,
     usage_vs_target,
     peak_alerts,

@@ -11,6 +11,12 @@ device_slots as (select device_eui, location_id, device_category, slot interval_
 place_slots as (select location_id, slot interval_start, sum(kwh) kwh, count(*) n_readings from energy group by all),
 daily as (select location_id, at_time::date "day", sum(kwh) kwh from energy group by all)"""
 
+# The same with the readings as those of a running meter that restarts from zero.
+_STEPS = """energy as (select * exclude (before) replace (
+  case when before is null then 0 when kwh >= before then kwh - before else kwh end as kwh)
+ from (select *, lag(kwh) over (partition by device_eui order by at_time) before from registers)),
+device_slots"""
+
 # The shared tariff as a rule of weekday and hour.
 _PEAK = "isodow(T) <= 5 and hour(T) >= 16 and hour(T) < 20"
 _SHOULDER = "isodow(T) <= 5 and ((hour(T) >= 7 and hour(T) < 16) or (hour(T) >= 20 and hour(T) < 22))"
@@ -222,4 +228,9 @@ _SELECTS: dict[str, tuple[str, str]] = {
     ),
 }
 
+for _name in ("usage_rollup", "cost_report", "co2e", "bi_daily"):
+    _base, _select = _SELECTS[_name]
+    _metered = _base.replace("energy as (", "registers as (", 1).replace("device_slots", _STEPS, 1)
+    _SELECTS[f"{_name}_metered"] = (_metered, _select)
+
 ORACLE = {name: f"with {base}\n{select}" for name, (base, select) in _SELECTS.items()}

@@ -51,7 +51,10 @@ def compliance_report(daily: DataFrame, first_day: str, last_day: str) -> DataFr
 
 
 def target_progress(daily: DataFrame, targets: DataFrame) -> DataFrame:
-    """Emissions so far in the month, per location and day, against the month's target."""
+    """Emissions so far in the month, per location and day, against the month's target.
+
+    A place or month without a target is listed without one.
+    """
     days = daily.groupBy(
         "location_id", F.trunc("day", "month").alias("month"), "day"
     ).agg(F.coalesce(F.sum("co2e_kg"), F.lit(0.0)).alias("co2e_kg"))
@@ -62,7 +65,7 @@ def target_progress(daily: DataFrame, targets: DataFrame) -> DataFrame:
     )
     return (
         days.withColumn("co2e_to_date", F.sum("co2e_kg").over(so_far))
-        .join(targets, ["location_id", "month"])
+        .join(targets, ["location_id", "month"], "left")
         .withColumn("share_of_target", F.round(F.col("co2e_to_date") / F.col("target"), 6))
     )
 

@@ -1,7 +1,7 @@
 """Joins against dimension tables: lookup, as-of and time-range.
 
 A dimension is broadcast only after its rows and bytes were counted; beyond the
-bound the join shuffles, and rows of one hot key are spread over ``SALTS`` tasks.
+bound the join shuffles, each side once, and Spark splits the rows of a hot key.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def fits_broadcast(
@@ -47,13 +46,14 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     max_rows: int | None = None,
-    salts: int = SALTS,
+    salts: int = 1,
     residual: Column | None = None,
 ) -> DataFrame:
     """Join facts to a dimension on equal keys (and an optional residual condition).
 
-    ``spread_by`` names fact columns that vary within a hot key, such as a message
-    id; they choose the salt when the dimension is too big to broadcast.
+    With ``salts`` over 1 the dimension is copied so often and the facts' keys are
+    spread by the columns ``spread_by``, which vary within a hot key: for sessions
+    without Spark's skew join.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters facts: left or inner")
@@ -67,6 +67,8 @@ def lookup_join(
         matches = matches & residual
     if fits:
         return facts.join(F.broadcast(dim), matches, how).drop(*names.values())
+    if salts <= 1:
+        return facts.join(dim, matches, how).drop(*names.values())
     facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     dim = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     matches = matches & (F.col("_salt") == F.col("_dim_salt"))

@@ -59,7 +59,7 @@ def stream_archive(m: Meter) -> DataFrame:
     """Archived lines of the landed topics."""
     s, root = _stream(m), session.shared_folder(m.spark, "archive")
     path = tables.archive_path(root)
-    archive = jobs.archive_batches(tables.archive_sink(path), F.col("publish_time"))
+    archive = jobs.archive_batches(tables.archive_sink(path), F.col("publish_time"), spread=False)
 
     def topics(df: DataFrame) -> DataFrame:
         routed = route.route(df, s.registry, F.col("publish_time"))

@@ -38,11 +38,17 @@ def start(
     return writer.trigger(processingTime=every).start()
 
 
-def per_batch(transform: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:
-    """Apply a batch transform inside the sink, so that it may look things up anew."""
+def per_batch(
+    transform: Callable[[DataFrame], DataFrame], sink: Sink, spread: bool = True
+) -> Sink:
+    """Apply a batch transform inside the sink, so that it may look things up anew.
+
+    A batch is spread over the cores where it comes from the source; a transform
+    behind another one takes it as it is.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        sink(transform(spread_small(df, "message_id")), batch_id)
+        sink(transform(spread_small(df, "message_id") if spread else df), batch_id)
 
     return write
 
@@ -67,10 +73,12 @@ def reading_batches(
     return per_batch(readings, sink)
 
 
-def archive_batches(sink: Sink, archived_at: Column | None = None) -> Sink:
+def archive_batches(
+    sink: Sink, archived_at: Column | None = None, spread: bool = True
+) -> Sink:
     """Archive lines of a micro-batch of topic records."""
     return per_batch(
-        lambda df: archive.archive_records(archive.archive_routes(df), archived_at), sink
+        lambda df: archive.archive_records(archive.archive_routes(df), archived_at), sink, spread
     )
 
 

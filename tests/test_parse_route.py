@@ -175,6 +175,7 @@ def test_salted_lookup_equals_broadcast(spark):
     for how in ("left", "inner"):
         small = joins.lookup_join(facts, dim, ["k"], ["id"], how)
         large = joins.lookup_join(facts, dim, ["k"], ["id"], how, max_rows=1)
+        assert "_salt" not in large._jdf.queryExecution().toString()
         assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
         assert sorted(small.collect()) == sorted(large.collect())
     hot = joins.lookup_join(facts, dim, ["k"], ["id"], max_rows=1, salts=8)

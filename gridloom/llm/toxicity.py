@@ -8,7 +8,8 @@ write and others do not.
 Both dictionaries are raw content trained on labelled documents, of which near
 copies count once.  The ordinary one holds the beginnings of ordinary documents.
 The toxic one holds the same, so common words cost the same under both, and before
-it the word beginnings that are most telling for toxic documents.  (Contents that
+it the word beginnings that are most telling for toxic documents, each with its
+commonest words.  (Contents that
 zstandard's own trainer picks separate the classes worse: what is frequent in
 toxic text is mostly what is frequent in all text.)
 
@@ -50,9 +51,14 @@ SLICE = 1024
 BASE_BYTES = 8192
 BASE_BEGINNING = 200
 STEMS = 32
-LEAST_DOCUMENTS = 4
+FORMS = 12
+#: A word beginning counts from this many toxic documents, and this share of them, on,
+#: and if toxic documents have it so many times as often as others.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 4, 0.01, 4.0
 STEM_SIZES = (4, 5, 6, 8, 11)
 LEVEL = 9
+#: Windows added to a text's own where shares of its windows are taken.
+FEW = 8
 #: Toxic documents are rare; missing one weighs this much more in the calibration.
 TOXIC_WEIGHT = 2.0
 #: Documents are held out of all learning where crc32(doc_id) mod FOLDS is HELD_OUT.
@@ -95,11 +101,12 @@ def features(text: bytes, toxic: bytes, ordinary: bytes) -> list[float]:
         [len(with_ordinary(window)) - len(with_toxic(window)) for window in windows(text)], dtype=np.float64
     )
     top = np.sort(np.r_[saved, [0.0, 0.0, 0.0]])[::-1][:4]
+    windows_ = len(saved) + FEW  # a chance hit in a short text is no high share
     return [
         *top,
-        float(saved.mean()),
-        float(np.maximum(saved, 0).mean()),
-        *[float((saved >= least).mean()) for least in (1, 2, 3, 4)],
+        float(saved.sum() / windows_),
+        float(np.maximum(saved, 0).sum() / windows_),
+        *[float((saved >= least).sum() / windows_) for least in (1, 2, 3, 4)],
         *[float(min(10, (saved >= least).sum())) for least in (2, 3, 4, 5, 6)],
         float(np.log(len(saved))),
     ]
@@ -134,7 +141,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     telling = {}
     for stem, n in own.items():
         p, q = (n + 0.5) / (len(toxic) + 1), (other[stem] + 0.5) / (len(ordinary) + 1)
-        if n >= LEAST_DOCUMENTS and p > q:
+        if n >= max(LEAST_DOCUMENTS, LEAST_SHARE * len(toxic)) and p > LEAST_RATIO * q:
             telling[stem] = (p - q) * np.log(p / q)
     kept: list[bytes] = []
     for stem in sorted(telling, key=lambda stem: (-telling[stem], stem)):
@@ -142,13 +149,16 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
             kept.append(stem)
             if len(kept) == STEMS:
                 break
-    # As long as most of the documents go along: longer matches save more.
-    longest = [
-        max((s for s in telling if s.startswith(stem) and own[s] >= 0.8 * own[stem]), key=lambda s: (len(s), s))
-        for stem in kept
-    ]
+    # Longer matches save more, so the commonest words of each beginning are written out.
+    words = Counter(word for text in toxic for word in set(text.translate(_WORDS).split()))
+    beginnings: dict[bytes, list[bytes]] = {stem: [] for stem in kept}
+    for word, _ in sorted(words.items(), key=lambda item: (-item[1], item[0])):
+        for n in STEM_SIZES:
+            if len(beginnings.get(word[:n], range(FORMS))) < FORMS:
+                beginnings[word[:n]].append(word)
+    forms = [word for stem in kept for word in [stem, *beginnings[stem]]]
     base = b"".join(text[:BASE_BEGINNING].translate(LOWER_AZ) for text in ordinary)[:BASE_BYTES]
-    return b" " + b" ".join(longest[::-1]) + b" " + base, b" " + base
+    return b" " + b" ".join(forms[::-1]) + b" " + base, b" " + base
 
 
 def calibrate(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:

@@ -66,5 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = scratch.settle(stage(spark, docs, sf_dir))
+        before, docs = docs, scratch.settle(stage(spark, docs, sf_dir))
+        scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

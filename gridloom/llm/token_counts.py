@@ -66,16 +66,11 @@ class Counter:
 
     def __init__(self, name: str, whole: frozenset[str]) -> None:
         self.tokenizer = _tokenizer(name)
-        self.whole = whole
-        self.known = dict.fromkeys(whole, 1)
+        self.known = tokens.Known(dict.fromkeys(whole, 1))
 
     def counts(self, texts: list[str]) -> list[int]:
         parts = [None if _OTHER.search(t) else _RULE.findall(t.lower()) for t in texts]
-        if len(self.known) > len(self.whole) + tokens.CACHED:
-            self.known = dict.fromkeys(self.whole, 1)
-        new = list({p for part in parts if part for p in part if p not in self.known})
-        self.known.update(zip(new, _counts(self.tokenizer, new), strict=True))
-        known = self.known.__getitem__
+        known = self.known.learned(parts, lambda new: _counts(self.tokenizer, new))
         return [
             sum(map(known, part)) if part is not None else _counts(self.tokenizer, [text])[0]
             for part, text in zip(parts, texts, strict=True)

@@ -12,15 +12,19 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections.abc import Callable, Iterable
 from functools import cache
+from typing import Generic, TypeVar
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+T = TypeVar("T")
+
 #: End of the Latin blocks.
 PLAIN = 0x250
-#: Pre-tokens kept per process; beyond it the cache starts anew.
+#: Pre-tokens of one generation of a process's cache; two are kept.
 CACHED = 300_000
 
 _OTHER = re.compile(f"[^\\x00-{chr(PLAIN - 1)}]|<\\|")
@@ -52,6 +56,28 @@ def is_plain(text: str) -> bool:
     return _OTHER.search(text) is None
 
 
+class Known(Generic[T]):
+    """What is known of pre-tokens: ``fixed`` ones and two generations of others.
+
+    A full generation becomes the older one; what is still in use moves on from it.
+    """
+
+    def __init__(self, fixed: dict[str, T]) -> None:
+        self.fixed = fixed
+        self.now, self.before = dict(fixed), {}
+
+    def learned(self, parts: Iterable[list[str] | None], find: Callable[[list[str]], list[T]]) -> Callable[[str], T]:
+        """A lookup that knows all pre-tokens of ``parts``; ``find`` is asked for the new ones."""
+        if len(self.now) > len(self.fixed) + CACHED:
+            self.before, self.now = self.now, dict(self.fixed)
+        new = {p for part in parts if part for p in part if p not in self.now}
+        older = {p: self.before[p] for p in new if p in self.before}
+        self.now.update(older)
+        unknown = [p for p in new if p not in older]
+        self.now.update(zip(unknown, find(unknown), strict=True))
+        return self.now.__getitem__
+
+
 class ByteLevel:
     """Ids of a byte-level vocabulary, as little-endian 32-bit numbers."""
 
@@ -62,7 +88,7 @@ class ByteLevel:
 
     def __init__(self, name: str) -> None:
         self.tokenizer = load(name)
-        self.known: dict[str, bytes] = {}
+        self.known: Known[bytes] = Known({})
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -70,11 +96,7 @@ class ByteLevel:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         parts = [self.RULE.findall(text) if is_plain(text) else None for text in texts]
-        if len(self.known) > CACHED:
-            self.known = {}
-        new = list({p for part in parts if part for p in part if p not in self.known})
-        self.known.update(zip(new, self._whole(new), strict=True))
-        known = self.known.__getitem__
+        known = self.known.learned(parts, self._whole)
         return [
             b"".join(map(known, part)) if part is not None else self._whole([text])[0]
             for part, text in zip(parts, texts, strict=True)

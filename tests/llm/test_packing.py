@@ -91,3 +91,12 @@ def test_query_meets_the_bound(spark, sf_dir):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     bins, bound = check(packing.op1_best_fit_packing(spark, sf_dir).collect(), docs, 1024)
     assert bins <= bound + 3
+
+
+def test_caches_keep_what_is_used(monkeypatch):
+    """Generations of a few pre-tokens give the same ids as one of all."""
+    monkeypatch.setattr(tokens, "CACHED", 5)
+    texts = odd_texts(2, 200)
+    small = tokens.ByteLevel("byte_bpe_50k.json")
+    got = [small.ids(texts[at : at + 3]) for at in range(0, len(texts), 3)]
+    assert [np.frombuffer(g, "<u4").tolist() for batch in got for g in batch] == library_ids(texts)

@@ -5,15 +5,17 @@ of tags and class names are one node.  Every node gets two measures over the
 pages that have it, each an entropy relative to its greatest possible value:
 
 * presentation: how much the sequences of child elements differ between pages;
-* content: how much the text blocks below it differ.
+* content: how much the text blocks right in it differ.
 
 Templates repeat the same few texts and shapes, so their nodes have entropies
-near zero.  The importance of a node is its content entropy, for a node with
-inner elements averaged with its presentation entropy.  Pages that are copies of
+near zero.  The importance of a node is its content entropy; for a node with
+inner elements it is averaged with its presentation entropy where that is greater,
+so a fixed layout does not speak against the text in it.  Pages that are copies of
 each other count once, and a node seen on fewer than ``MIN_PAGES`` different
-pages is not judged.  Branches below a threshold are removed from each page of
-the host; inside the page's article the threshold is lower, since paragraphs of
-near copies repeat as well.  Nodes that HTML or their class name declares to be
+pages is not judged.  A text block is judged by the lowest node around it alone:
+a branch goes from the pages of the host if all below it is of low importance, and
+a wrapper never takes important text with it.  Inside the page's article the threshold
+is lower, since paragraphs of near copies repeat as well.  Nodes that HTML or their class name declares to be
 navigation, forms, notices and the like are of no importance on any page, and if
 a page declares an article, nothing outside of it is.
 
@@ -208,13 +210,9 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
     return blocks, elements
 
 
-def _nodes(block: Block) -> list[Element]:
-    """The elements around a block, from its own outwards, below the page itself."""
-    found, place = [], block.at
-    while place.up is not None and place.tag not in ("html", "body"):
-        found.append(place)
-        place = place.up
-    return found
+def _judged(block: Block) -> bool:
+    """Text right in the page itself has no node that could be judged."""
+    return block.at.up is not None and block.at.tag not in ("html", "body")
 
 
 _FEATURES = "node long, article boolean, inner boolean, presentation boolean, feature long, page long"
@@ -229,17 +227,14 @@ def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks, _ = parse(page or "")
             digest = _number(*[block.text for block in blocks])
             seen: dict[str, tuple[int, bool, bool]] = {}
-            contents = []
-            for block in blocks:
-                content = _number(block.text)
-                for node in _nodes(block):
-                    if node.path not in seen:
-                        inner = any(style.split(".")[0] in BLOCKS for style in node.shape)
-                        number = _number(host, node.path)
-                        seen[node.path] = (number, node.article, inner)
-                        out.append((number, node.article, inner, True, _number(*node.shape), digest))
-                    contents.append((*seen[node.path], False, content, digest))
-            out += contents
+            for block in filter(_judged, blocks):
+                node = block.at
+                if node.path not in seen:
+                    inner = any(style.split(".")[0] in BLOCKS for style in node.shape)
+                    number = _number(host, node.path)
+                    seen[node.path] = (number, node.article, inner)
+                    out.append((number, node.article, inner, True, _number(*node.shape), digest))
+                out.append((*seen[node.path], False, _number(block.text), digest))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in zip(*out, strict=True)],
@@ -248,7 +243,7 @@ def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def node_importance(pages: DataFrame) -> DataFrame:
-    """node, article, pages and importance of every node of every host's tree."""
+    """node, article, pages and importance of every node with text of its own."""
     features = pages.select("url", "html").mapInArrow(_features, _FEATURES)
     # A copy of a page has the same digest and adds nothing.  All sums are made in
     # parts before a shuffle, so a host with most of the pages is no hot key.
@@ -271,7 +266,8 @@ def node_importance(pages: DataFrame) -> DataFrame:
         F.max(F.when(c("presentation"), c("entropy"))).alias("presentation"),
         F.max(F.when(~c("presentation"), c("entropy"))).alias("content"),
     )
-    importance = F.when(c("inner"), (c("presentation") + c("content")) / 2).otherwise(c("content"))
+    whole = F.greatest((c("presentation") + c("content")) / 2, c("content"))
+    importance = F.when(c("inner"), whole).otherwise(c("content"))
     return both.select("node", "article", "pages", importance.alias("importance"))
 
 
@@ -288,12 +284,10 @@ def main_text(page: str, host: str, low: frozenset[int] | set[int]) -> str:
     judged: dict[str, bool] = {}
 
     def important(block: Block) -> bool:
-        for node in _nodes(block):
-            if node.path not in judged:
-                judged[node.path] = _number(host, node.path) in low
-            if judged[node.path]:
-                return False
-        return True
+        path = block.at.path
+        if path not in judged:
+            judged[path] = _judged(block) and _number(host, path) in low
+        return not judged[path]
 
     return "\n\n".join(block.text for block in blocks if not low or important(block))
 
@@ -314,7 +308,7 @@ def _own_nodes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = set()
         for key, url, page in zip(*(batch.column(c).to_pylist() for c in ("_page", "url", "html")), strict=True):
             host = host_of(url)
-            paths = {node.path for block in parse(page or "")[0] for node in _nodes(block)}
+            paths = {block.at.path for block in parse(page or "")[0] if _judged(block)}
             out |= {(key, _number(host, path)) for path in paths}
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(out), strict=True)], ["_page", "node"])

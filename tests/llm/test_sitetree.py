@@ -82,3 +82,27 @@ def test_templates_are_found_per_host(spark):
 def test_long_page():
     page = "<article>" + "<p>word &amp; word</p>" * 50_000
     assert text(page) == "\n\n".join(["word & word"] * 50_000)
+
+
+def texts_of(spark, pages):
+    """Extracted texts of pages of one host, in their order."""
+    rows = [(i, f"http://one.example.org/{i}", page) for i, page in enumerate(pages)]
+    got = sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize("copies", [0, 13])
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_wrappers_keep_important_text(spark, around, copies):
+    """A fixed layout around the text does not take it along, a third of near copies either."""
+    pages, want = [], []
+    for i in range(40):
+        own = [f"paragraph {j} of page {0 if i < copies else i}, told once" for j in range(3)]
+        own[-1] += f" {i}"
+        body = "".join(f"<p>{p}</p>" for p in own)
+        pages.append(
+            f"<body><div class=wrapper><div class=x1>Home</div><div class=x2>All rights</div><div class=x3>note {i % 3}</div>"
+            f"<{around} class=x4>{body}</{around}></div></body>"
+        )
+        want.append("\n\n".join(own))
+    assert texts_of(spark, pages) == want

@@ -2,7 +2,9 @@
 
 The element trees of all pages of a host are merged: elements with the same path
 of tags and class names are one node.  Every node gets two measures over the
-pages that have it, each an entropy relative to its greatest possible value:
+pages that have it, each an entropy between the pages relative to its greatest
+possible value, which is taken for ``FEW_PAGES`` pages where there are more, so that
+an entropy does not fall only because a host has many pages:
 
 * presentation: how much the sequences of child elements differ between pages;
 * content: how much the text blocks right in it differ.
@@ -10,12 +12,12 @@ pages that have it, each an entropy relative to its greatest possible value:
 Templates repeat the same few texts and shapes, so their nodes have entropies
 near zero.  The importance of a node is its content entropy; for a node with
 inner elements it is averaged with its presentation entropy where that is greater,
-so a fixed layout does not speak against the text in it.  Pages that are copies of
-each other count once, and a node seen on fewer than ``MIN_PAGES`` different
-pages is not judged.  A text block is judged by the lowest node around it alone:
+so a fixed layout does not speak against the text in it.  Copies and near copies of a
+page count once (a page with an article by its article), and a node seen on fewer than
+``MIN_PAGES`` different pages is not judged.  A text block is judged by the lowest node around it alone:
 a branch goes from the pages of the host if all below it is of low importance, and
-a wrapper never takes important text with it.  Inside the page's article the threshold
-is lower, since paragraphs of near copies repeat as well.  Nodes that HTML or their class name declares to be
+a wrapper never takes important text with it.  Inside the page's article nothing goes
+for being repeated.  Nodes that HTML or their class name declares to be
 navigation, forms, notices and the like are of no importance on any page, and if
 a page declares an article, nothing outside of it is.
 
@@ -37,13 +39,13 @@ from functools import partial
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import Scratch, batches, table
 
 MIN_PAGES = 5
-INSIDE = 0.05
-OUTSIDE = 0.4
+FEW_PAGES = 100
+LOW = 0.4
 #: Removed nodes are broadcast up to this number, else joined to the pages.
 MAX_BROADCAST_NODES = 200_000
 
@@ -215,66 +217,81 @@ def _judged(block: Block) -> bool:
     return block.at.up is not None and block.at.tag not in ("html", "body")
 
 
-_FEATURES = "node long, article boolean, inner boolean, presentation boolean, feature long, page long"
+def _page_key(blocks: list[Block]) -> int:
+    """One number for copies and near copies, which share their longest blocks, half of the text.
+
+    It is taken of the article or, without one, of all blocks.
+    """
+    texts = sorted([b.text for b in blocks if b.at.article] or [b.text for b in blocks], key=lambda text: (-len(text), text))
+    half, chosen = sum(map(len, texts)) / 2, []
+    for text in texts:
+        chosen.append(text)
+        half -= len(text)
+        if half <= 0:
+            break
+    return _number(*chosen)
+
+
+_FEATURES = "node long, inner boolean, presentation boolean, feature long, page long"
 
 
 def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each page adds to the tree of its host."""
     for batch in batches(rows, 8 << 20):
-        out = []
+        out: set[tuple[int, bool, bool, int, int]] = set()
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
             host = host_of(url)
             blocks, _ = parse(page or "")
-            digest = _number(*[block.text for block in blocks])
-            seen: dict[str, tuple[int, bool, bool]] = {}
-            for block in filter(_judged, blocks):
+            judged = [block for block in blocks if _judged(block)]
+            if not judged:
+                continue
+            key = _page_key(blocks)
+            seen: dict[str, tuple[int, bool]] = {}
+            for block in judged:
                 node = block.at
                 if node.path not in seen:
                     inner = any(style.split(".")[0] in BLOCKS for style in node.shape)
                     number = _number(host, node.path)
-                    seen[node.path] = (number, node.article, inner)
-                    out.append((number, node.article, inner, True, _number(*node.shape), digest))
-                out.append((*seen[node.path], False, _number(block.text), digest))
+                    seen[node.path] = (number, inner)
+                    out.add((number, inner, True, _number(*node.shape), key))
+                out.add((*seen[node.path], False, _number(block.text), key))
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in zip(*out, strict=True)],
-                ["node", "article", "inner", "presentation", "feature", "page"],
+                [pa.array(c) for c in zip(*out, strict=True)], ["node", "inner", "presentation", "feature", "page"]
             )
 
 
-def node_importance(pages: DataFrame) -> DataFrame:
-    """node, article, pages and importance of every node with text of its own."""
+def node_importance(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, pages and importance of every node with text of its own."""
     features = pages.select("url", "html").mapInArrow(_features, _FEATURES)
-    # A copy of a page has the same digest and adds nothing.  All sums are made in
+    # A copy of a page has the same key and adds nothing.  All sums are made in
     # parts before a shuffle, so a host with most of the pages is no hot key.
-    once = features.groupBy("node", "presentation", "feature", "page").agg(
-        F.max("article").alias("article"), F.max("inner").alias("inner"), F.count("*").alias("n")
-    )
-    counted = once.groupBy("node", "presentation", "feature").agg(
-        F.max("article").alias("article"), F.max("inner").alias("inner"),
-        F.sum("n").alias("n"), F.count("*").alias("pages"),
-    )
+    once = features.groupBy("node", "presentation", "feature", "page").agg(F.max("inner").alias("inner"))
+    counted = scratch.settle(once)
     c = F.col
-    entropies = counted.groupBy("node", "presentation").agg(
-        F.max("article").alias("article"), F.max("inner").alias("inner"),
-        F.sum("n").alias("n"), F.sum("pages").alias("pages"), F.sum(c("n") * F.log(c("n"))).alias("nlogn"),
-    ).withColumn("entropy", F.when(c("n") > 1, (F.log("n") - c("nlogn") / c("n")) / F.log("n")).otherwise(1.0))
-    both = entropies.groupBy("node").agg(
-        F.max("article").alias("article"),
-        F.max("inner").alias("inner"),
-        F.max(F.when(c("presentation"), c("pages"))).alias("pages"),
-        F.max(F.when(c("presentation"), c("entropy"))).alias("presentation"),
-        F.max(F.when(~c("presentation"), c("entropy"))).alias("content"),
+    # Near copies may differ at a node, so its pages are not the sum over its features.
+    pages_of = counted.groupBy("node", "page").agg(F.max("inner").alias("inner"))
+    pages_of = pages_of.groupBy("node").agg(F.count("*").alias("pages"), F.max("inner").alias("inner"))
+    # Features are spread over the pages: the mean of log(pages / pages with the feature)
+    # is the entropy where a page has one feature, and 0 for a list that all pages share.
+    spread = (
+        counted.groupBy("node", "presentation", "feature").agg(F.count("*").alias("n"))
+        .groupBy("node").pivot("presentation", [True, False])
+        .agg(F.sum(c("n") * F.log(c("n"))).alias("nlogn"), F.sum("n").alias("n"))
     )
-    whole = F.greatest((c("presentation") + c("content")) / 2, c("content"))
-    importance = F.when(c("inner"), whole).otherwise(c("content"))
-    return both.select("node", "article", "pages", importance.alias("importance"))
+
+    def entropy(kind: str) -> Column:
+        between = F.log("pages") - c(f"{kind}_nlogn") / c(f"{kind}_n")
+        return F.when(c("pages") > 1, F.least(F.lit(1.0), between / F.log(F.least("pages", F.lit(FEW_PAGES))))).otherwise(1.0)
+
+    presentation, content = entropy("true"), entropy("false")
+    importance = F.when(c("inner"), F.greatest((presentation + content) / 2, content)).otherwise(content)
+    return spread.join(pages_of, "node").select("node", "pages", importance.alias("importance"))
 
 
 def low_nodes(importance: DataFrame) -> DataFrame:
-    """Nodes whose branches are removed."""
-    threshold = F.when(F.col("article"), INSIDE).otherwise(OUTSIDE)
-    return importance.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < threshold)).select("node")
+    """Nodes whose blocks are removed, unless they stand in the page's article."""
+    return importance.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW)).select("node")
 
 
 def main_text(page: str, host: str, low: frozenset[int] | set[int]) -> str:
@@ -285,6 +302,8 @@ def main_text(page: str, host: str, low: frozenset[int] | set[int]) -> str:
 
     def important(block: Block) -> bool:
         path = block.at.path
+        if block.at.article:
+            return True
         if path not in judged:
             judged[path] = _judged(block) and _number(host, path) in low
         return not judged[path]
@@ -318,7 +337,7 @@ def extract(pages: DataFrame, most_broadcast: int = MAX_BROADCAST_NODES) -> Data
     """page_id, url, text and n_chars (code points) of every page."""
     scratch = Scratch(pages.sparkSession, "sitetree")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    low = scratch.settle(low_nodes(node_importance(pages)))
+    low = scratch.settle(low_nodes(node_importance(pages, scratch)))
     schema = "page_id long, url string, text string, n_chars long"
     found = low.limit(most_broadcast + 1).collect()  # at most so many numbers
     if len(found) <= most_broadcast:

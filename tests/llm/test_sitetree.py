@@ -106,3 +106,26 @@ def test_wrappers_keep_important_text(spark, around, copies):
         )
         want.append("\n\n".join(own))
     assert texts_of(spark, pages) == want
+
+
+def test_articles_are_kept_where_near_copies_dominate(spark):
+    """99 of 100 pages are near copies: their articles stay, and that of the other page."""
+    pages = [f"<div class=d>day {i}</div><article><h1>Same title</h1><p>the same words on all pages</p></article>" for i in range(99)]
+    pages.append("<div class=d>day 1</div><article><h1>Same title</h1><p>one of its own</p></article>")
+    assert texts_of(spark, pages) == ["Same title\n\nthe same words on all pages"] * 99 + ["Same title\n\none of its own"]
+
+
+def test_near_copies_without_article_count_once(spark):
+    body = " ".join(f"w{j}" for j in range(300))
+    pages = [f"<div class=a><h1>Same title</h1><p>{body}</p></div><div class=d>{i}</div>" for i in range(60)]
+    other = "<div class=a><h1>Same title</h1><p>one of its own</p></div><div class=d>1</div>"
+    got = texts_of(spark, [*pages, other])
+    assert got[-1].startswith("Same title\n\none of its own") and all(body in text for text in got[:-1])
+
+
+@pytest.mark.parametrize("n", [40, 1500])
+def test_entropies_do_not_fall_with_pages(spark, n):
+    """A list that all pages share goes and one of thirty openings stays, however many pages there are."""
+    menu = "".join(f"<li>entry {j}</li>" for j in range(30))
+    rows = [f"<ul>{menu}</ul><div class=o>opening {i % 30}</div><div class=t>own text of page {i}</div>" for i in range(n)]
+    assert texts_of(spark, rows) == [f"opening {i % 30}\n\nown text of page {i}" for i in range(n)]

@@ -18,7 +18,8 @@ page count once (a page with an article by its article), and a node seen on fewe
 a branch goes from the pages of the host if all below it is of low importance, and
 a wrapper never takes important text with it.  Inside the page's article nothing goes
 for being repeated.  Nodes that HTML or their class name declares to be
-navigation, forms, notices and the like are of no importance on any page, and if
+navigation, forms, notices and the like are of no importance on any page (inside an
+article only by whole class names of widgets, and headings never by their id), and if
 a page declares an article, nothing outside of it is.
 
 What is left is text: character references decoded, white space inside a block
@@ -51,7 +52,9 @@ MAX_BROADCAST_NODES = 200_000
 
 # Elements and names that HTML and common usage define.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object select title".split())
+RAW = frozenset("script style noscript template textarea iframe svg object select title annotation annotation-xml".split())
+#: What these hold is no markup, also where their end is missing.
+RAW_TO_THE_END = frozenset("script style textarea".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot "
@@ -68,6 +71,17 @@ NO_TEXT_NAMES = frozenset(
     "share sharing social related recommended recommendations comment comments reply replies respond disqus pagination "
     "pager skip copyright toolbar".split()
 )
+#: Class names that stand for widgets inside an article too; only whole ones count there.
+WIDGET_NAMES = frozenset(
+    "ad ads ad-banner ad-box ad-container ad-label ad-slot ad-unit ad-wrapper adsbygoogle adsense advert adverts advertisement "
+    "advertisements advertising sponsor sponsored promo promotion comment comments comment-form comment-list comment-respond "
+    "comments-area comments-list comments-section reply replies respond disqus disqus-thread share sharing share-bar "
+    "share-button share-buttons share-links share-tools sharedaddy social social-bar social-buttons social-icons social-links "
+    "social-media social-share addthis addtoany notice notices cookie cookies cookie-banner cookie-bar cookie-consent "
+    "cookie-notice consent gdpr newsletter newsletter-form newsletter-signup subscribe".split()
+)
+#: Their ids are made from titles and tell nothing about what they are.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section a span p li dt dd".split())
 COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
 WHOLE = frozenset("html body main article".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
@@ -115,11 +129,15 @@ def _opened(tag: str, attributes: str, up: Element) -> Element:
         for name, *values in _ATTRIBUTE.findall(attributes):
             names.setdefault(name.lower(), "".join(values))
     labels = f"{names.get('class', '')} {names.get('id', '')}"
-    words = {word.lower() for word in _NAME_PARTS.findall(labels)} | set(_NAMES.findall(labels.lower()))
-    telling = words & (COMMENT_NAMES if tag in WHOLE else NO_TEXT_NAMES)
-    if words & {"has", "with", "no", "without"}:  # names of a layout, not of a part
-        telling = set()
     inside = up.article
+    named = names.get("class", "") if tag in TITLED else labels
+    words = {word.lower() for word in _NAME_PARTS.findall(named)} | set(_NAMES.findall(named.lower()))
+    if inside:
+        telling = {name.replace("_", "-") for name in names.get("class", "").lower().split()} & WIDGET_NAMES
+    elif words & {"has", "with", "no", "without"}:  # names of a layout, not of a part
+        telling = set()
+    else:
+        telling = words & (COMMENT_NAMES if tag in WHOLE else NO_TEXT_NAMES)
     silent = (
         up.silent
         or tag in NO_TEXT
@@ -143,7 +161,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
     """Text blocks in page order, silent ones left out, and the elements that were opened."""
     root = Element("", "", False, False, None)
     now, elements, blocks, held = root, [], [], []
-    at = 0
+    at, unclosed = 0, set()
 
     def ended() -> None:
         text = " ".join("".join(held).split())
@@ -187,9 +205,15 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
                     now = place.up or root
             continue
         if tag in RAW:
+            if found[3].endswith("/") or tag in unclosed:
+                continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if not found[3].endswith("/"):
-                at = end.end() if end else len(page)
+            if end:
+                at = end.end()
+            elif tag in RAW_TO_THE_END:
+                at = len(page)
+            else:
+                unclosed.add(tag)
             continue
         if tag in VOID:
             if tag == "hr":

@@ -129,3 +129,20 @@ def test_entropies_do_not_fall_with_pages(spark, n):
     menu = "".join(f"<li>entry {j}</li>" for j in range(30))
     rows = [f"<ul>{menu}</ul><div class=o>opening {i % 30}</div><div class=t>own text of page {i}</div>" for i in range(n)]
     assert texts_of(spark, rows) == [f"opening {i % 30}\n\nown text of page {i}" for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><section id='related-work'><h2 id=search-and-navigation>R</h2><p>a</p></section></article>", "R\n\na"),
+        ("<article><div id=login class='reply-guide'>a</div><section id='notification-settings'>b</section></article>", "a\n\nb"),
+        ("<article><p>a</p><div class='share-buttons'>s</div><div class='x Comments'>c</div><div class=ad>d</div></article>", "a"),
+        ("<h2 id='social-history'>a</h2><section id='related'>b</section><div id=related>c</div>", "a\n\nb"),
+        ("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p>", "let x=1 be"),
+        ("<p>a</p><svg><path d='m'><p>b</p>", "a\n\nb"),
+        ("<title>no end<p>a</p><object><p>b</p>", "no end\n\na\n\nb"),
+        ("<p>a</p><script>x = 1; <p>b</p>", "a"),
+    ],
+)
+def test_names_and_raw_elements(page, want):
+    assert text(page) == want

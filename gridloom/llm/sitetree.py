@@ -20,7 +20,8 @@ a wrapper never takes important text with it.  Inside the page's article nothing
 for being repeated.  Nodes that HTML or their class name declares to be
 navigation, forms, notices and the like are of no importance on any page (inside an
 article only by whole class names of widgets, and headings never by their id), and if
-a page declares an article, nothing outside of it is.
+a page declares one article, or several that hold most of its important text, nothing
+outside of it is.  Several with less, such as teasers, are judged like other nodes.
 
 What is left is text: character references decoded, white space inside a block
 turned into one blank, blocks in page order with an empty line between.
@@ -246,7 +247,7 @@ def _page_key(blocks: list[Block]) -> int:
 
     It is taken of the article or, without one, of all blocks.
     """
-    texts = sorted([b.text for b in blocks if b.at.article] or [b.text for b in blocks], key=lambda text: (-len(text), text))
+    texts = sorted([b.text for b in _scope(blocks, blocks) or blocks], key=lambda text: (-len(text), text))
     half, chosen = sum(map(len, texts)) / 2, []
     for text in texts:
         chosen.append(text)
@@ -318,21 +319,34 @@ def low_nodes(importance: DataFrame) -> DataFrame:
     return importance.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW)).select("node")
 
 
+def _scope(blocks: list[Block], stay: list[Block]) -> list[Block]:
+    """The blocks of the page's article: of the only one, or of several with most of the important text."""
+    inside = [block for block in blocks if block.at.article]
+    articles = set()
+    for block in inside:
+        place = block.at
+        while place.up is not None and place.up.article:
+            place = place.up
+        articles.add(id(place))
+    if len(articles) > 1:
+        outside = sum(len(block.text) for block in stay if not block.at.article)
+        if sum(len(block.text) for block in stay if block.at.article) <= outside:
+            return []
+    return inside
+
+
 def main_text(page: str, host: str, low: frozenset[int] | set[int]) -> str:
     blocks, _ = parse(page)
-    if any(block.at.article for block in blocks):
-        blocks = [block for block in blocks if block.at.article]
     judged: dict[str, bool] = {}
 
     def important(block: Block) -> bool:
         path = block.at.path
-        if block.at.article:
-            return True
         if path not in judged:
             judged[path] = _judged(block) and _number(host, path) in low
         return not judged[path]
 
-    return "\n\n".join(block.text for block in blocks if not low or important(block))
+    stay = [block for block in blocks if not low or important(block)]
+    return "\n\n".join(block.text for block in _scope(blocks, stay) or stay)
 
 
 def _extracted(rows: Iterator[pa.RecordBatch], low: frozenset[int] | None) -> Iterator[pa.RecordBatch]:

@@ -146,3 +146,21 @@ def test_entropies_do_not_fall_with_pages(spark, n):
 )
 def test_names_and_raw_elements(page, want):
     assert text(page) == want
+
+
+def test_teasers_are_not_the_only_text(spark):
+    """Cards declared as articles do not take the place of a text in plain elements."""
+    own = ["one long paragraph of page %d with a dozen words in all of it", "a second one, page %d"]
+    pages, want = [], []
+    for i in range(12):
+        body = "".join(f"<p>{p % i}</p>" for p in own)
+        cards = "".join(f"<article><h3>card {i} {j}</h3></article>" for j in range(3))
+        pages.append(f"<div class=a>Home</div><div class=b>{body}</div><div class=c>{cards}</div>")
+        want.append("\n\n".join([p % i for p in own] + [f"card {i} {j}" for j in range(3)]))
+    assert texts_of(spark, pages) == want
+
+
+def test_several_articles_with_most_of_the_text():
+    many = "<p>out</p><article><p>first of two</p></article><article><p>second of two</p></article>"
+    assert text(many) == "first of two\n\nsecond of two"
+    assert text("<p>out, and long</p><main><article>a</article><article>b</article></main>") == "a\n\nb"

@@ -67,3 +67,21 @@ TEMPLATES: dict[str, list[str]] = {
         "purpose, commercial or non-commercial, and by any means.",
     ],
 }
+
+# What tells a license from its relatives: a phrase of its texts, the words of it that have
+# to be there, and words that do not stand in it but in that place of a relative.  At least
+# half of a phrase has to be matched, at one of its places.
+TELLING: dict[str, list[tuple[str, str, str]]] = {
+    "MIT": [
+        ("The above copyright notice and this permission notice shall be included in all copies", "", ""),
+        ("portions of the Software. THE SOFTWARE IS PROVIDED", "", "good evil"),
+    ],
+    "Apache-2.0": [("Apache License, Version 2.0", "2 0", "1")],
+    "GPL-3.0": [
+        ("GNU General Public License", "", "lesser library affero"),
+        ("version 3 of the License", "3", "1 2"),
+    ],
+    "ISC": [("provided that the above copyright notice and this permission notice appear in all copies", "", "")],
+    "BSD-2-Clause": [("with the distribution. THIS SOFTWARE IS PROVIDED", "", "neither endorse advertising")],
+    "MPL-2.0": [("Mozilla Public License, v. 2.0", "2 0", "1")],
+}

@@ -5,7 +5,10 @@ around such a place are aligned with the text: words that are unique on both
 sides are anchors, the longest increasing sequence of them is kept, and the gaps
 between anchors are aligned in the same way until none has anchors left; equal
 words at the ends of a gap go with it.  The share of the text's words that found
-their counterpart is its coverage, and at least ``COVERAGE`` counts as a match.
+their counterpart is its coverage, and at least ``COVERAGE`` counts as a match.  A text of
+fewer than ``SHORT`` words has to stand there word for word.  Of a longer one the phrases
+that tell the license from its relatives have to be there, with their names and versions
+and without those of a relative among them.
 Of matches that overlap the one with more words stays, then the better covered.
 
 Nothing is shuffled: each whole text is scanned by itself, against texts whose
@@ -28,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import batches, table, utf8
-from gridloom.llm.license_texts import TEMPLATES
+from gridloom.llm.license_texts import TELLING, TEMPLATES
 
 COVERAGE = 0.8
 SEED = 3
+SHORT = 20
 
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -106,6 +110,44 @@ def _templates() -> tuple[list[tuple[str, list[bytes]]], dict[bytes, list[tuple[
     return texts, dict(seeds)
 
 
+class Telling(NamedTuple):
+    places: list[int]  # where a telling phrase stands in a text
+    length: int
+    needed: set[bytes]
+    barred: set[bytes]
+
+
+@cache
+def _telling() -> list[list[Telling]]:
+    """The telling phrases of each text."""
+    out = []
+    for name, wanted in _templates()[0]:
+        out.append([])
+        for phrase, needed, barred in TELLING.get(name, ()):
+            p = words_of(phrase.encode())
+            places = [n for n in range(len(wanted)) if wanted[n : n + len(p)] == p]
+            if places:
+                out[-1].append(Telling(places, len(p), set(words_of(needed.encode())), set(words_of(barred.encode()))))
+    return out
+
+
+def own(words: list[bytes], wanted: list[bytes], telling: list[Telling], pairs: list[tuple[int, int]]) -> bool:
+    """Whether the aligned words are this license's and not those of a relative."""
+    if len(wanted) < SHORT:
+        return len(pairs) == len(wanted) == pairs[-1][0] - pairs[0][0] + 1
+    there = [place for _, place in pairs]
+
+    def stands(place: int, phrase: Telling) -> bool:
+        # All words between the neighbours of the phrase that found their counterpart.
+        before, after = bisect_left(there, place), bisect_left(there, place + phrase.length)
+        low = pairs[before - 1][0] + 1 if before else max(0, pairs[0][0] - phrase.length)
+        high = pairs[after][0] if after < len(pairs) else pairs[-1][0] + 1 + phrase.length
+        between = set(words[low:high])
+        return 2 * (after - before) >= phrase.length and phrase.needed <= between and not phrase.barred & between
+
+    return all(any(stands(place, phrase) for place in phrase.places) for phrase in telling)
+
+
 def scan(text: bytes) -> list[Match]:
     """Matches of one whole text in the order of their places."""
     texts, seeds = _templates()
@@ -120,9 +162,10 @@ def scan(text: bytes) -> list[Match]:
                 continue
             slack = max(SEED, len(wanted) // 4)
             begin = max(done[number], first - place - slack)
-            pairs = align(words[begin : first - place + len(wanted) + slack], wanted)
+            window = words[begin : first - place + len(wanted) + slack]
+            pairs = align(window, wanted)
             coverage = len(pairs) / len(wanted)
-            if coverage >= COVERAGE:
+            if coverage >= COVERAGE and own(window, wanted, _telling()[number], pairs):
                 start, end = begin + pairs[0][0], begin + pairs[-1][0] + 1
                 found.append(Match(name, number, start, end, len(pairs), coverage))
                 done[number] = end

@@ -85,3 +85,36 @@ def test_odd_rows(spark):
     got = sorted((tuple(r) for r in licenses.license_scan(docs).collect()), key=str)
     assert got == sorted([(None, "MIT", 1, 5, 1.0), *[(1, "", 0, 0, None)] * 3, (2, "MIT", 1, 5, 1.0)], key=str)
     assert licenses.license_scan(docs.limit(0)).collect() == []
+
+
+GPL3 = max((form for form in TEMPLATES["GPL-3.0"] if "This program is free" in form[:30]), key=len)
+BSD2 = max(TEMPLATES["BSD-2-Clause"], key=len)
+MIT = max(TEMPLATES["MIT"], key=len)
+
+
+@pytest.mark.parametrize(
+    ("text", "wrong"),
+    [
+        ("Licensed under the BSD License.", "MIT"),
+        ("Licensed under the Apache License.", "MIT"),
+        ("Licensed under the Apache License, Version 1.1.", "Apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "GPL-3.0"),
+        (GPL3.replace("version 3", "version 2"), "GPL-3.0"),
+        (GPL3.replace("GNU General", "GNU Lesser General"), "GPL-3.0"),
+        (GPL3.replace("GNU General", "GNU Affero General"), "GPL-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-4.0"),
+        (
+            BSD2.replace("THIS SOFTWARE IS PROVIDED", "3. Neither the name of the copyright holder nor the names of its "
+            "contributors may be used to endorse or promote products derived from this software without specific prior "
+            "written permission. THIS SOFTWARE IS PROVIDED"),
+            "BSD-2-Clause",
+        ),
+        (MIT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED"), "MIT"),
+    ],
+)
+def test_siblings(text, wrong):
+    assert wrong not in {m.license for m in licenses.scan(f"some words before {text} and after".encode())}

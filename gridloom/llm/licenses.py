@@ -23,8 +23,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cache, partial
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -36,6 +36,7 @@ from gridloom.llm.license_texts import TELLING, TEMPLATES
 COVERAGE = 0.8
 SEED = 3
 SHORT = 20
+LONG = 400
 
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -98,18 +99,6 @@ def align(left: list[bytes], right: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-@cache
-def _templates() -> tuple[list[tuple[str, list[bytes]]], dict[bytes, list[tuple[int, int, int]]]]:
-    """All texts, and per word the (text, place, index) of three-word seeds it is the longest of."""
-    texts = [(name, words_of(text.encode())) for name, forms in TEMPLATES.items() for text in forms]
-    seeds: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)
-    for number, (_, words) in enumerate(texts):
-        for place in range(len(words) - SEED + 1):
-            index = max(range(SEED), key=lambda i: len(words[place + i]))
-            seeds[words[place + index]].append((number, place, index))
-    return texts, dict(seeds)
-
-
 class Telling(NamedTuple):
     places: list[int]  # where a telling phrase stands in a text
     length: int
@@ -117,18 +106,39 @@ class Telling(NamedTuple):
     barred: set[bytes]
 
 
+Further = tuple[tuple[str, tuple[str, ...]], ...]
+
+
+class Index(NamedTuple):
+    texts: list[tuple[str, list[bytes]]]
+    #: Per word the three-word seeds it is the longest of, each with its (text, place).
+    seeds: dict[bytes, dict[tuple[bytes, ...], list[tuple[int, int]]]]
+    telling: list[list[Telling]]
+    counts: list[Counter[bytes]]
+
+
+def _longest(seed: tuple[bytes, ...]) -> int:
+    return max(range(SEED), key=lambda i: len(seed[i]))
+
+
 @cache
-def _telling() -> list[list[Telling]]:
-    """The telling phrases of each text."""
-    out = []
-    for name, wanted in _templates()[0]:
-        out.append([])
+def index(further: Further = ()) -> Index:
+    """All texts, ``further`` ones behind the fixed ones, prepared for the scan."""
+    forms = [(name, text) for name, texts in (*TEMPLATES.items(), *further) for text in texts]
+    texts = [(name, words_of(text.encode())) for name, text in forms]
+    seeds: dict[bytes, dict[tuple[bytes, ...], list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+    telling: list[list[Telling]] = []
+    for number, (name, words) in enumerate(texts):
+        for place in range(len(words) - SEED + 1):
+            seed = tuple(words[place : place + SEED])
+            seeds[seed[_longest(seed)]][seed].append((number, place))
+        telling.append([])
         for phrase, needed, barred in TELLING.get(name, ()):
             p = words_of(phrase.encode())
-            places = [n for n in range(len(wanted)) if wanted[n : n + len(p)] == p]
+            places = [n for n in range(len(words)) if words[n : n + len(p)] == p]
             if places:
-                out[-1].append(Telling(places, len(p), set(words_of(needed.encode())), set(words_of(barred.encode()))))
-    return out
+                telling[-1].append(Telling(places, len(p), set(words_of(needed.encode())), set(words_of(barred.encode()))))
+    return Index(texts, {word: dict(own) for word, own in seeds.items()}, telling, [Counter(words) for _, words in texts])
 
 
 def own(words: list[bytes], wanted: list[bytes], telling: list[Telling], pairs: list[tuple[int, int]]) -> bool:
@@ -148,27 +158,58 @@ def own(words: list[bytes], wanted: list[bytes], telling: list[Telling], pairs:
     return all(any(stands(place, phrase) for place in phrase.places) for phrase in telling)
 
 
-def scan(text: bytes) -> list[Match]:
+def scan(text: bytes, further: Further = ()) -> list[Match]:
     """Matches of one whole text in the order of their places."""
-    texts, seeds = _templates()
+    texts, seeds, telling, counts = index(further)
     words = words_of(text)
     found: list[Match] = []
     done = [0] * len(texts)  # words before this place are aligned already
+    tried: dict[int, list[int]] = {}  # where alignments with a text have failed since then
+    enough: dict[int, bool] = {}
+    held: Counter[bytes] = Counter()
+
+    def possible(number: int) -> bool:
+        """Whether the document has enough of a text's words at all."""
+        if number not in enough:
+            least = COVERAGE * len(texts[number][1])
+            if len(words) < least:
+                enough[number] = False
+            else:
+                if not held:
+                    held.update(words)
+                enough[number] = sum(min(n, held[word]) for word, n in counts[number].items()) >= least
+        return enough[number]
+
     for at, word in enumerate(words):
-        for number, place, index in seeds.get(word, ()):
-            name, wanted = texts[number]
-            first = at - index
-            if first < done[number] or words[first : first + SEED] != wanted[place : place + SEED]:
+        own_seeds = seeds.get(word)
+        if own_seeds is None:
+            continue
+        for back in range(SEED):
+            first = at - back
+            seed = tuple(words[first : first + SEED]) if first >= 0 else ()
+            hits = own_seeds.get(seed)
+            if hits is None or _longest(seed) != back:
                 continue
-            slack = max(SEED, len(wanted) // 4)
-            begin = max(done[number], first - place - slack)
-            window = words[begin : first - place + len(wanted) + slack]
-            pairs = align(window, wanted)
-            coverage = len(pairs) / len(wanted)
-            if coverage >= COVERAGE and own(window, wanted, _telling()[number], pairs):
-                start, end = begin + pairs[0][0], begin + pairs[-1][0] + 1
-                found.append(Match(name, number, start, end, len(pairs), coverage))
-                done[number] = end
+            for number, place in hits:
+                if first < done[number] or not possible(number):
+                    continue
+                name, wanted = texts[number]
+                slack = max(SEED, len(wanted) // 4)
+                # Alignments of a long text that start this close cover the same words.
+                near = slack // 2 if len(wanted) >= LONG else 1
+                if any(abs(first - place - before) < near for before in tried.get(number, ())):
+                    continue
+                begin = max(done[number], first - place - slack)
+                window = words[begin : first - place + len(wanted) + slack]
+                pairs = align(window, wanted)
+                coverage = len(pairs) / len(wanted)
+                if coverage >= COVERAGE and own(window, wanted, telling[number], pairs):
+                    start, end = begin + pairs[0][0], begin + pairs[-1][0] + 1
+                    found.append(Match(name, number, start, end, len(pairs), coverage))
+                    done[number] = end
+                    tried.pop(number, None)
+                else:
+                    tried.setdefault(number, []).append(first - place)
     kept: list[Match] = []
     for match in sorted(found, key=lambda m: (-m.matched, -m.coverage, m.start, m.template)):
         if all(match.end <= other.start or match.start >= other.end for other in kept):
@@ -179,27 +220,31 @@ def scan(text: bytes) -> list[Match]:
 _MATCHES = "array<struct<license: string, start: int, end: int, coverage: double>>"
 
 
-def _scanned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scanned(rows: Iterator[pa.RecordBatch], further: Further) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(
         pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("coverage", pa.float64())])
     )
     for batch in batches(rows):
         found = [
-            [{"license": m.license, "start": m.start, "end": m.end, "coverage": m.coverage} for m in scan(text)]
+            [{"license": m.license, "start": m.start, "end": m.end, "coverage": m.coverage} for m in scan(text, further)]
             for text in utf8(batch.column("text"))
         ]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "matches"])
 
 
-def matches(docs: DataFrame) -> DataFrame:
-    """doc_id and ``matches`` (license, word range, coverage) of every document."""
+def matches(docs: DataFrame, further: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """doc_id and ``matches`` (license, word range, coverage) of every document.
+
+    ``further`` has more texts by license name, which go to all tasks with the fixed ones.
+    """
+    added = tuple((name, tuple(forms)) for name, forms in (further or {}).items())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(_scanned, f"doc_id long, matches {_MATCHES}")
+    return texts.mapInArrow(partial(_scanned, further=added), f"doc_id long, matches {_MATCHES}")
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, further: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Per document: its licenses, number of matches, words inside them, least coverage."""
-    return matches(docs).select(
+    return matches(docs, further).select(
         "doc_id",
         F.concat_ws(",", F.array_sort(F.array_distinct("matches.license"))).alias("licenses"),
         F.size("matches").cast("long").alias("n_matches"),

@@ -118,3 +118,39 @@ MIT = max(TEMPLATES["MIT"], key=len)
 )
 def test_siblings(text, wrong):
     assert wrong not in {m.license for m in licenses.scan(f"some words before {text} and after".encode())}
+
+
+@pytest.mark.parametrize("license", ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"])
+def test_whole_texts(license):
+    """A full text is one match over all its words, also with a copyright line before and some words changed."""
+    own = max(TEMPLATES[license], key=len).split()
+    draw = random.Random(license)
+    for n in draw.sample(range(40, len(own)), 10):
+        own[n] = "changed"
+    (found,) = licenses.scan(f"Copyright 2020 Somebody {' '.join(own)}".encode())
+    assert found.license == license and found.end - found.start > 0.99 * len(licenses.words_of(" ".join(own).encode()))
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (GPL3.replace("version 3", "version 2"), "GPL-2.0"),
+        (GPL3.replace("GNU General", "GNU Lesser General"), "LGPL-3.0"),
+        (GPL3.replace("GNU General", "GNU Affero General"), "AGPL-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivs 3.0 Unported License.", "CC-BY-ND-3.0"),
+        (TEMPLATES["GPL-3.0"][-1].replace("GENERAL PUBLIC LICENSE", "AFFERO GENERAL PUBLIC LICENSE", 1).replace("29 June 2007", "19 November 2007"), None),
+    ],
+)
+def test_relatives_by_their_own_name(text, want):
+    found = {m.license for m in licenses.scan(text.encode())}
+    assert found == {want} if want else "GPL-3.0" not in {m.license for m in licenses.scan(text.encode()) if m.matched > 1000}
+
+
+def test_further_texts(spark):
+    docs = spark.createDataFrame([(1, "x y Use this as the House License 7 allows. z")], "doc_id long, text string")
+    (row,) = licenses.license_scan(docs, {"House-7": ["Use this as the House License 7 allows."]}).collect()
+    assert (row.licenses, row.n_matches, row.n_license_words) == ("House-7", 1, 8)
+    assert licenses.license_scan(docs).first().licenses == ""

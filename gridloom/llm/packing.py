@@ -4,7 +4,7 @@ Documents become token ids with an end token.  Only documents over ``SIZE``
 tokens are cut, into pieces of ``SIZE``; their first piece takes the remainder.
 Pieces of ``SIZE`` are sequences by themselves.
 
-The others are dealt by hash into partitions of about ``DEALT`` pieces.  Each is
+The others are dealt by a hash of their written row number into partitions of about ``DEALT`` pieces.  Each is
 packed by best-fit decreasing, and dual-feasible functions of its lengths give a
 number of sequences that no packing can go below.  A partition that meets its
 bound is certified and done.  Partitions with a gap keep their full sequences and
@@ -115,7 +115,7 @@ def lower_bound(lengths: np.ndarray, size: int) -> int:
     return best
 
 
-_PACKED = f"{_PIECES}, part long, bin long, offset long, used long, gap long"
+_PACKED = f"{_PIECES}, row long, part long, bin long, offset long, used long, gap long"
 
 
 def _packed(group: pa.Table, size: int) -> pa.Table:
@@ -159,12 +159,12 @@ def packed(
             F.lit(True).alias("certified"),
         )
     ]
-    pool = cut.where(F.col("length") < size).select(*columns)
+    pool = cut.where(F.col("length") < size).select(*columns, "row")
     for turn in range(ROUNDS):
         parts = max(1, -(-pool.count() // dealt))
-        part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)).alias("part")
+        part = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(parts)).alias("part")
         found = scratch.settle(
-            pool.select(*columns, part).groupBy("part").applyInArrow(pack, _PACKED)
+            pool.select(*columns, "row", part).groupBy("part").applyInArrow(pack, _PACKED)
         )
         last = turn == ROUNDS - 1 or parts == 1
         stays = F.lit(True) if last else (F.col("gap") == 0) | (F.col("used") == size)
@@ -177,7 +177,7 @@ def packed(
                 ((F.col("gap") == 0) | (F.col("used") == size)).alias("certified"),
             )
         )
-        pool = found.where(~stays).select(*columns)
+        pool = found.where(~stays).select(*columns, "row")
         if last or not pool.take(1):
             break
     out = done[0]

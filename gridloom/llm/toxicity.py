@@ -230,8 +230,9 @@ def sampled(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
         min(1.0, PER_CLASS / max(1, counts.get(0, 0)))
     )
     chosen = scratch.settle(known.where(draw < share).select("doc_id", "toxic", F.pmod(F.hash("doc_id"), F.lit(2)).cast("int").alias("half")))
-    # About 2 * PER_CLASS rows by construction.
-    return scratch.settle(docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "half"))
+    # About 2 * PER_CLASS rows by construction; of a repeated doc_id the least text.
+    once = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text"))
+    return scratch.settle(once.select("text", "toxic", "half"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, bytes, np.ndarray] | None:

@@ -100,3 +100,18 @@ def test_caches_keep_what_is_used(monkeypatch):
     small = tokens.ByteLevel("byte_bpe_50k.json")
     got = [small.ids(texts[at : at + 3]) for at in range(0, len(texts), 3)]
     assert [np.frombuffer(g, "<u4").tolist() for batch in got for g in batch] == library_ids(texts)
+
+
+def test_repeated_rows_are_dealt_evenly(spark, monkeypatch):
+    """Rows equal in all columns do not end up in one group."""
+    sizes = spark.sparkContext.accumulator(0)
+    kind = packing._packed
+
+    def counted(group, size):
+        sizes.add(len(group) ** 2)
+        return kind(group, size)
+
+    monkeypatch.setattr(packing, "_packed", counted)
+    docs = spark.createDataFrame([(None, "the same words")] * 2000, "doc_id long, text string")
+    assert len(packing.packed(docs, size=64, dealt=100).collect()) == 2000
+    assert sizes.value < packing.ROUNDS * 2000 * 200

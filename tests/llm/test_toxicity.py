@@ -51,3 +51,10 @@ def test_little_text_trains(n):
     toxic, ordinary = train = toxicity.train_dictionaries([b"you utter numbskull"] * n, [b"a fine day out"] * n)
     assert toxic.endswith(ordinary)
     assert all(np.isfinite(toxicity.features(t, *train)).all() for t in (b"", b"numbskull " * 99, b"day"))
+
+
+def test_a_repeated_document_is_learned_once(spark):
+    docs = spark.range(2).crossJoin(spark.range(500).select()).selectExpr("id + 1 doc_id", "'some text' text")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    sample = toxicity.sampled(docs, labels, toxicity.Scratch(spark, "test"))
+    assert docs.count() == 1000 and sample.count() == 2

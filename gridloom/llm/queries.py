@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import decontaminate, language, licenses, packing, quality, simhash, sitetree, suffix, token_counts, toxicity
+from gridloom.llm import (
+    clustering,
+    decontaminate,
+    language,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    sitetree,
+    suffix,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +33,7 @@ _QUERIES = [
     decontaminate.op8_benchmark_decontamination,
     licenses.op9_license_scan,
     toxicity.op10_toxicity,
+    clustering.op11_centroid_clustering,
 ]
 
 
@@ -32,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": quality.ORACLE_SQL,
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
+        "op11_centroid_clustering": clustering.ORACLE_SQL,
     }

@@ -11,6 +11,7 @@ from gridloom.llm import (
     decontaminate,
     language,
     licenses,
+    merkle,
     packing,
     quality,
     simhash,
@@ -34,6 +35,7 @@ _QUERIES = [
     licenses.op9_license_scan,
     toxicity.op10_toxicity,
     clustering.op11_centroid_clustering,
+    merkle.op12_merkle_manifest,
 ]
 
 
@@ -46,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": quality.ORACLE_SQL,
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op11_centroid_clustering": clustering.ORACLE_SQL,
+        "op12_merkle_manifest": merkle.ORACLE_SQL,
     }

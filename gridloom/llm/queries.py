@@ -19,6 +19,7 @@ from gridloom.llm import (
     suffix,
     token_counts,
     toxicity,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,7 @@ _QUERIES = [
     toxicity.op10_toxicity,
     clustering.op11_centroid_clustering,
     merkle.op12_merkle_manifest,
+    warc.op13_warc,
 ]
 
 
@@ -49,4 +51,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op11_centroid_clustering": clustering.ORACLE_SQL,
         "op12_merkle_manifest": merkle.ORACLE_SQL,
+        "op13_warc": warc.ORACLE_SQL,
     }

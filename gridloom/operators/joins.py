@@ -48,9 +48,12 @@ def lookup_join(
     max_rows: int | None = None,
     salts: int = 1,
     residual: Column | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join facts to a dimension on equal keys (and an optional residual condition).
 
+    ``fits`` is the answer for a dimension that was counted before.
+
     With ``salts`` over 1 the dimension is copied so often and the facts' keys are
     spread by the columns ``spread_by``, which vary within a hot key: for sessions
     without Spark's skew join.
@@ -58,7 +61,7 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError("lookup_join keeps or filters facts: left or inner")
     names = {c: f"_dim_{c}" for c in on}
-    fits = fits_broadcast(dim, max_rows)
+    fits = fits_broadcast(dim, max_rows) if fits is None else fits
     dim = dim.withColumnsRenamed(names)
     matches = F.lit(True)
     for c in on:
@@ -107,6 +110,11 @@ def asof_join(
     open_end = history.where(F.col("_until").isNull()).select(
         *by, F.col("_from").alias("_open_from"), F.col("_values").alias("_open")
     )
+    # One count for both parts, kept with the dimension.
+    fits = vars(dim).get("_fits_asof")
+    if fits is None:
+        parts = ended.drop("_ended").unionByName(open_end.drop("_open"), allowMissingColumns=True)
+        fits = vars(dim)["_fits_asof"] = fits_broadcast(parts)
     facts = facts.withColumn("_day", F.to_date(fact_time))
     at = F.col(fact_time)
     out = lookup_join(
@@ -115,8 +123,9 @@ def asof_join(
         [*by, "_day"],
         spread_by,
         residual=(at >= F.col("_from")) & (at < F.col("_until")),
+        fits=fits,
     ).drop("_from", "_until", "_day")
-    out = lookup_join(out, open_end, by, spread_by, residual=at >= F.col("_open_from"))
+    out = lookup_join(out, open_end, by, spread_by, residual=at >= F.col("_open_from"), fits=fits)
     picked = F.coalesce("_ended", "_open")
     for v in values:
         out = out.withColumn(v, picked[v])

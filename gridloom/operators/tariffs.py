@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gridloom.operators.usage import intervals, own_or_shared
-from gridloom.operators.joins import lookup_join
+from gridloom.operators.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, fits_broadcast, lookup_join
 
 OPEN_END = "9999-12-31"
+HOURS = 7 * 24
 
 
 def hour_grid(tariffs: DataFrame) -> DataFrame:
@@ -84,12 +85,14 @@ def match_tariffs(
     Rules are in local time: the instant is converted once, then joined on scope,
     weekday and hour, which leaves only the validity dates to compare.
     """
+    # Both dimensions are made of the tariffs, which are counted once: 168 rows each at most.
+    fits = fits_broadcast(tariffs, MAX_BROADCAST_ROWS // HOURS, MAX_BROADCAST_BYTES // HOURS)
     own_zones = (
         tariffs.where(F.col("location_id") != "*")
         .groupBy("location_id")
         .agg(F.max("zone").alias("_zone"))
     )
-    facts = lookup_join(facts, own_zones, ["location_id"], [at]).withColumns(
+    facts = lookup_join(facts, own_zones, ["location_id"], [at], fits=fits).withColumns(
         {
             "_scope": F.when(F.col("_zone").isNotNull(), F.col("location_id")).otherwise("*"),
             "_local": F.from_utc_timestamp(F.col(at), F.coalesce("_zone", F.lit(shared_zone))),
@@ -113,7 +116,7 @@ def match_tariffs(
         "rate",
     )
     in_force = (F.col("_date") >= F.col("_valid_from")) & (F.col("_date") < F.col("_valid_to"))
-    return lookup_join(facts, grid, ["_scope", "weekday", "hour"], [at], residual=in_force).drop(
+    return lookup_join(facts, grid, ["_scope", "weekday", "hour"], [at], residual=in_force, fits=fits).drop(
         "_zone", "_scope", "_local", "_date", "_valid_from", "_valid_to", "weekday", "hour"
     )
 

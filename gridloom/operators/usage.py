@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridloom.functions.binary import is_finite
-from gridloom.operators.joins import lookup_join
+from gridloom.operators.joins import fits_broadcast, lookup_join
 
 READING_KINDS = ("interval_kwh", "cumulative_kwh")
 PLACE = ["device_eui", "location_id", "device_category"]
@@ -19,8 +19,10 @@ def demand_kw() -> Column:
     return F.col("average_current") * F.col("average_voltage") / 1000
 
 
-def energy_rows(readings: DataFrame, kind: str = "interval_kwh") -> DataFrame:
-    """Energy per reading: device, place, ``at`` and ``kwh``.
+def energy_rows(
+    readings: DataFrame, kind: str = "interval_kwh", extra: Sequence[str] = ()
+) -> DataFrame:
+    """Energy per reading: device, place, ``at``, ``kwh`` and the ``extra`` columns.
 
     A reading that is not a finite number has NULL energy and ``excluded`` set;
     readings without a time belong to no interval and are left out.
@@ -30,21 +32,23 @@ def energy_rows(readings: DataFrame, kind: str = "interval_kwh") -> DataFrame:
     """
     if kind not in READING_KINDS:
         raise ValueError(f"reading kind {kind!r} is none of {READING_KINDS}")
-    if {"at", "kwh", "excluded"} <= set(readings.columns):
+    if {"at", "kwh", "excluded", *extra} <= set(readings.columns):
         return readings
     rows = readings.where(F.col("original_mqtt_time").isNotNull()).select(
-        *PLACE, F.col("original_mqtt_time").alias("at"), "reading"
+        *PLACE, *extra, F.col("original_mqtt_time").alias("at"), "reading"
     )
     finite = F.coalesce(is_finite(F.col("reading")), F.lit(False))
     rows = rows.withColumn("kwh", F.when(finite, F.col("reading")))
     if kind == "cumulative_kwh":
-        return _metered_steps(rows)
-    return rows.select(*PLACE, "at", "kwh", (~finite).alias("excluded"))
+        return _metered_steps(rows, extra)
+    return rows.select(*PLACE, *extra, "at", "kwh", (~finite).alias("excluded"))
 
 
-def _metered_steps(rows: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def _metered_steps(rows: DataFrame, extra: Sequence[str] = (), slice_unit: str = "hour") -> DataFrame:
     """Differences of a running meter; a decrease means it restarted from zero.
 
+    A step belongs to the place, and to the ``extra`` columns, of the reading that ends it.
+
     Readings of one instant are one reading (the highest).  A device is cut into
     time slices; each slice starts from the last reading of the slice before,
     which comes from one row per slice, so no task holds a whole device.
@@ -52,10 +56,10 @@ def _metered_steps(rows: DataFrame, slice_unit: str = "hour") -> DataFrame:
     instants = (
         rows.groupBy("device_eui", "at")
         .agg(
-            F.max(F.struct("kwh", "location_id", "device_category")).alias("_r"),
+            F.max(F.struct("kwh", "location_id", "device_category", *extra)).alias("_r"),
             F.count_if(F.col("kwh").isNull()).alias("_lost"),
         )
-        .select("device_eui", "at", "_r.location_id", "_r.device_category", "_r.kwh", "_lost")
+        .select("device_eui", "at", *[f"_r.{c}" for c in ("location_id", "device_category", *extra)], "_r.kwh", "_lost")
         .withColumn("_slice", F.date_trunc(slice_unit, "at"))
     )
     metered = F.col("kwh").isNotNull()
@@ -82,7 +86,7 @@ def _metered_steps(rows: DataFrame, slice_unit: str = "hour") -> DataFrame:
         .otherwise(F.col("kwh"))
     )
     return instants.join(slices, ["device_eui", "_slice"]).select(
-        *PLACE, "at", F.when(metered, step).alias("kwh"), (F.col("_lost") > 0).alias("excluded")
+        *PLACE, *extra, "at", F.when(metered, step).alias("kwh"), (F.col("_lost") > 0).alias("excluded")
     )
 
 
@@ -250,22 +254,26 @@ def against_target(actual: DataFrame, targets: DataFrame, on: Sequence[str], val
     )
 
 
+def judge(location_intervals: DataFrame, thresholds: DataFrame, share: float = 0.8) -> DataFrame:
+    """Add ``threshold_kwh`` and ``level``: breach, warning from ``share`` of it on, or NULL."""
+    kwh, limit = F.col("kwh"), F.col("threshold_kwh")
+    return own_or_shared(location_intervals, thresholds, ["interval_start"]).withColumn(
+        "level", F.when(kwh >= limit, "breach").when(kwh >= limit * share, "warning")
+    )
+
+
 def peak_alerts(
     location_intervals: DataFrame, thresholds: DataFrame, share: float = 0.8
 ) -> DataFrame:
     """Intervals in which a location used at least ``share`` of its threshold."""
-    kwh, limit = F.col("kwh"), F.col("threshold_kwh")
-    return (
-        own_or_shared(location_intervals, thresholds, ["interval_start"], how="inner")
-        .where(kwh >= limit * share)
-        .select(
-            "location_id",
-            "interval_start",
-            "kwh",
-            "threshold_kwh",
-            F.when(kwh >= limit, "breach").otherwise("warning").alias("level"),
-        )
-    )
+    judged = judge(location_intervals, thresholds, share).where(F.col("level").isNotNull())
+    return judged.select("location_id", "interval_start", "kwh", "threshold_kwh", "level")
+
+
+def without_threshold(location_intervals: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Locations that no alert can be raised for, with the energy that goes unjudged."""
+    open_ended = judge(location_intervals, thresholds).where(F.col("threshold_kwh").isNull())
+    return open_ended.groupBy("location_id").agg(F.count("*").alias("n_intervals"), F.sum("kwh").alias("kwh"))
 
 
 def own_or_shared(
@@ -279,12 +287,14 @@ def own_or_shared(
     shared: str = "*",
 ) -> DataFrame:
     """Join rows of the fact's own key, or the shared rows if the key has none of its own."""
+    # What is made of the dimension fits where the dimension does: it is counted once.
+    fits = fits_broadcast(dim)
     own = dim.where(F.col(key) != shared).select(key).distinct().withColumn("_own", F.lit(True))
-    facts = lookup_join(facts, own, [key], spread_by).withColumn(
+    facts = lookup_join(facts, own, [key], spread_by, fits=fits).withColumn(
         "_scope", F.when(F.col("_own"), F.col(key)).otherwise(shared)
     )
     scoped = dim.withColumnRenamed(key, "_scope")
-    joined = lookup_join(facts, scoped, ["_scope", *on], spread_by, how, residual=residual)
+    joined = lookup_join(facts, scoped, ["_scope", *on], spread_by, how, residual=residual, fits=fits)
     return joined.drop("_own", "_scope")
 
 
@@ -326,22 +336,20 @@ def adjusted_usage(readings: DataFrame, adjustments: DataFrame) -> DataFrame:
 
 
 def daily_star(readings: DataFrame, kind: str = "interval_kwh") -> DataFrame:
-    """One row per device and day with calendar fields, ready for BI tools."""
-    day = F.to_date("original_mqtt_time")
-    rows = readings.where(F.col("original_mqtt_time").isNotNull() & is_finite(F.col("reading")))
-    days = rows.groupBy(*PLACE, "client_id", day.alias("day")).agg(
-        F.sum("reading").alias("kwh"),
-        F.count("*").alias("n_readings"),
-        F.max(F.when(is_finite(demand_kw()), demand_kw())).alias("max_demand_kw"),
+    """One row per device, place, client and day with calendar fields, ready for BI tools.
+
+    Energy and readings are counted for the place and client of their time, so a
+    device that moves inside a day has a row for each.  A day whose readings are all
+    excluded has a row without energy.
+    """
+    demand = F.when(is_finite(demand_kw()), demand_kw())
+    rows = energy_rows(readings.withColumn("_kw", demand), kind, ["client_id", "_kw"])
+    key = [*PLACE, "client_id", F.to_date("at").alias("day")]
+    days = rows.groupBy(*key).agg(
+        F.coalesce(F.sum("kwh"), F.lit(0.0)).alias("kwh"),
+        F.count("kwh").alias("n_readings"),
+        F.max("_kw").alias("max_demand_kw"),
     )
-    if kind != "interval_kwh":
-        # A device has one client: its energy of a day stands in one row.
-        metered = daily_usage(energy_rows(readings, kind), PLACE)
-        same = [days[c].eqNullSafe(metered[c]) for c in [*PLACE, "day"]]
-        match = same[0] & same[1] & same[2] & same[3]
-        days = days.drop("kwh").join(metered, match, "left").select(
-            *[days[c] for c in [*PLACE, "client_id", "day"]], metered["kwh"], "n_readings", "max_demand_kw"
-        )
     return days.select("*", *calendar_columns(F.col("day")))
 
 

@@ -20,4 +20,18 @@ ORACLE = {
     "stream_peak_alerts": f"""with {ALERTS}
         select * from alerts where interval_start + interval 15 minute
         <= (select date_trunc('milliseconds', max(at_time)) - interval 1 hour from energy)""",
+    "stream_alerts_reconciled": f"""with {ALERTS}
+        select * from alerts where interval_start + interval 15 minute
+        <= (select max(at_time) - interval 1 hour from energy)""",
+    "stream_retry": f"""with {ROUTED},
+        tried as (select *, case when route in ('invalid_message', 'incomplete_metadata') then
+          case when route = 'incomplete_metadata' and substr(eui, 5)::bigint % 22 = 0 then 2
+          when route = 'incomplete_metadata' and substr(eui, 5)::bigint % 33 = 0 then 3 else 9 end else 1 end tries from routed)
+        select message_id,
+        case when tries = 9 then 'dead_letter' when tries > 1 then 'enriched'
+          when route in ('enriched', 'unidentified') then route else 'quarantine' end "exit",
+        case when tries in (2, 3) or route = 'enriched' then null
+          when route = 'unidentified' then 'device metadata not found' else route end reason,
+        case when tries in (2, 3) then 'LATE' when route = 'enriched' then device_category end device_category,
+        least(tries, 3)::int tries from tried""",
 }

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import time
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gridloom import session
 from gridloom.operators import route
@@ -12,7 +16,7 @@ from gridloom.schemas import METER_READING
 from gridloom.sinks import tables
 from gridloom.sources import derived
 from gridloom.sources.landed import RegistrySnapshot, archived_payload
-from gridloom.streaming import jobs
+from gridloom.streaming import jobs, reconcile, retry
 
 
 class StreamMeter(Meter):
@@ -87,11 +91,10 @@ def stream_dedup(m: Meter) -> DataFrame:
 
 
 def stream_demand(m: Meter) -> DataFrame:
-    s, path = _stream(m), session.shared_folder(m.spark, "demand")
-    latest = jobs.latest_demand(s.readings)
-    _drain(m, latest, tables.batch_sink(path), "update")
-    rows = tables.read_batches(m.spark, path, latest.schema.add("batch_id", "long"))
-    return jobs.newest_rows(rows, "device_eui")
+    s = _stream(m)
+    table = jobs.demand_table(m.spark, session.shared_folder(m.spark, "demand"))
+    _drain(m, s.readings, jobs.demand_batches(table))
+    return table.current()
 
 
 def stream_peak_alerts(m: Meter) -> DataFrame:
@@ -103,6 +106,57 @@ def stream_peak_alerts(m: Meter) -> DataFrame:
     return tables.read_batches(m.spark, path, alerts.schema)
 
 
+def stream_alerts_reconciled(m: Meter) -> DataFrame:
+    """Alerts after corrections, of readings that come up to ten hours late.
+
+    The readings land in four parts, by the time when they arrive: every tenth or so
+    is 10, every fortieth 60 and every hundredth 600 minutes late.
+    """
+    folder, path = (session.shared_folder(m.spark, name) for name in ("late", "corrections"))
+    draw = F.pmod(F.xxhash64("device_eui", "original_mqtt_time"), F.lit(200))
+    late = F.when(draw < 2, 600).when(draw < 7, 60).when(draw < 27, 10).otherwise(0)
+    at = F.unix_micros("original_mqtt_time") + late.cast("long") * 60_000_000
+    readings = session.settle(m.readings.withColumn("arrived", at), "readings")
+    # The parts need not be equal, only come one after the other.
+    low, high = readings.agg(F.min("arrived"), F.max("arrived")).first()
+    for part in range(4):
+        first, last = (low + (high - low) * n // 4 for n in (part, part + 1)) if high is not None else (0, 0)
+        rows = readings.where((F.col("arrived") > first) | F.lit(part == 0)).where((F.col("arrived") <= last) | F.lit(part == 3))
+        rows.drop("arrived").coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.01)  # files are taken in order of their time
+    stream = m.spark.readStream.schema(METER_READING).option("maxFilesPerTrigger", 1).parquet(folder)
+    book = reconcile.AlertBook(m.spark, session.shared_folder(m.spark, "book"))
+    limits = parameters.thresholds(parameters.locations(m.table("nation")))
+    _drain(m, stream, reconcile.reconciled_alerts(book, tables.batch_sink(path), limits))
+    return reconcile.in_force(tables.read_batches(m.spark, path, reconcile.CORRECTION))
+
+
+def stream_retry(m: Meter) -> DataFrame:
+    """Each message's last exit, when the registry is completed while refused ones wait."""
+    s, path = _stream(m), session.shared_folder(m.spark, "retried")
+    key = F.substring("device_eui", 5, 20).cast("bigint")
+    state = {"completed": 0}
+
+    def load() -> DataFrame:
+        """Every 22nd device gets its category after the first try, every 33rd after the second."""
+        late = ((key % 22 == 0) & F.lit(state["completed"] >= 1)) | ((key % 33 == 0) & F.lit(state["completed"] >= 2))
+        category = F.when(late & (F.col("device_category") == ""), "LATE").otherwise(F.col("device_category"))
+        return derived.registry(m.spark, m.sf_dir).withColumn("device_category", category)
+
+    hours = lambda: datetime(2024, 1, 1, state["completed"], tzinfo=timezone.utc)
+    pending = retry.pending_table(m.spark, session.shared_folder(m.spark, "pending"))
+    job = retry.Retry(RegistrySnapshot(load, 0), pending, tables.batch_sink(path), 3, 60, clock=hours, ingested_at=F.col("publish_time"))
+    _drain(m, s.envelopes, job)
+    for tries in (1, 2):
+        state["completed"] = tries
+        job.due_only("idle", tries)
+    schema = route.route(m.envelopes, m.registry, F.col("publish_time")).schema
+    written = StructType([*schema.fields, StructField("tries", IntegerType())])
+    return tables.read_batches(m.spark, path, written).select(
+        "message_id", "exit", "reason", "device_category", "tries"
+    )
+
+
 QUERIES = [
     stream_enrich,
     stream_readings,
@@ -110,4 +164,6 @@ QUERIES = [
     stream_dedup,
     stream_demand,
     stream_peak_alerts,
+    stream_alerts_reconciled,
+    stream_retry,
 ]

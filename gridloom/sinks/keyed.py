@@ -71,7 +71,7 @@ class KeyedTable:
         """The newest: ``batches`` done by run, and ``units`` with their runs as [folder, level]."""
         versions = [n for n in self._names("manifests") if n.startswith("v")]
         if not versions:
-            return {"version": 0, "seq": 0, "batches": {}, "units": {}}
+            return {"version": 0, "seq": 0, "batches": {}, "units": {}, "notes": {}}
         return self._load(versions[-1])
 
     def _load(self, name: str) -> dict:
@@ -154,8 +154,15 @@ class KeyedTable:
     def done(self, run: str, batch_id: int) -> bool:
         return self.manifest()["batches"].get(run, -1) >= batch_id
 
-    def commit(self, rows: DataFrame, run: str, batch_id: int) -> None:
-        """Add a batch; several rows of a key are reduced to the newest first."""
+    def note(self, name: str):
+        """A small value that came with a batch, or None."""
+        return self.manifest()["notes"].get(name)
+
+    def commit(self, rows: DataFrame, run: str, batch_id: int, **notes) -> None:
+        """Add a batch; several rows of a key are reduced to the newest first.
+
+        ``notes`` are small values that count from the same moment on as the rows.
+        """
         manifest = self.manifest()
         if manifest["batches"].get(run, -1) >= batch_id:
             return
@@ -169,6 +176,7 @@ class KeyedTable:
         for unit in self._write(self._newest(rows), folder):
             manifest["units"].setdefault(unit, []).append([folder, 0])
         manifest["batches"][run] = batch_id
+        manifest["notes"].update(notes)
         self._swap(manifest)
         self.compact()
 

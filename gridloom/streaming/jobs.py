@@ -8,14 +8,17 @@ loses nor doubles a message.  ``available_now`` drains the source and stops.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from gridloom import session
 from gridloom.operators import archive, decode, parse, route, usage
 from gridloom.operators.ordering import spread_small
 from gridloom.sinks import tables
+from gridloom.sinks.keyed import KeyedTable
 from gridloom.sinks.tables import Sink
 from gridloom.sources.landed import RegistrySnapshot
 
@@ -85,67 +88,156 @@ def archive_batches(
 REPEAT_KEY = ["device_eui", "message_timestamp", "raw_payload"]
 
 
+SEEN = (
+    StructType()
+    .add("message_key", "string")
+    .add("slice", "long")
+    .add("day", "string")
+    .add("first_at", "timestamp")
+    .add("last_at", "timestamp")
+)
+
+
+def seen_table(spark: SparkSession, path: str) -> KeyedTable:
+    """First and last sighting of a message per slice of time, by day."""
+    return KeyedTable(spark, path, SEEN, ["message_key", "slice"], partition="day")
+
+
 def unique_batches(
-    seen: str, sink: Sink, repeats: Sink | None = None, keep_for: str = "1 hour"
+    seen: str, sink: Sink, repeats: Sink | None = None, keep_seconds: int = 3600, keep_days: int = 7
 ) -> Sink:
-    """Raw messages with those sent again within ``keep_for`` taken out.  Off unless a job asks.
+    """Raw messages with those sent again within ``keep_seconds`` taken out.  Off unless a job asks.
 
     Messages are the same when device, time and payload are, and are compared by
     the transport's publish time.  Every parsed message goes to ``sink`` or to
     ``repeats``: there is no watermark, so none is refused for its time, whatever
-    its device's clock says.  What was seen is kept by day in the folder ``seen``; a
-    batch reads the days around its own and leaves out what it wrote itself before
-    a failure.  Messages without a publish time are never repeats.
+    its device's clock says.  Messages without a publish time are never repeats.
+
+    Time is cut into slices of ``keep_seconds``.  Of a message and slice only the first and
+    last sighting are kept, which is all that its neighbours need, so a message that is sent
+    a million times is a row per slice before it is ordered.  Days more than ``keep_days``
+    before the batch's newest are forgotten; what comes later than that passes as new.
     """
+    span = keep_seconds * 1_000_000
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark, run = df.sparkSession, tables.run_of(df)
+        table = seen_table(spark, seen)
+        if table.done(run, batch_id):
+            return
         key = F.sha2(F.to_json(F.struct(*REPEAT_KEY), {"ignoreNullFields": "false"}), 256)
-        rows = parse.parse_messages(df).where("parsed").select(
-            "message_id",
-            *REPEAT_KEY,
-            "publish_time",
-            key.alias("message_key"),
-            F.to_date("publish_time").alias("seen_day"),
+        at = F.unix_micros("publish_time")
+        cut = F.floor(at / span).cast("long")
+        rows = session.settle(
+            parse.parse_messages(df).where("parsed").select(
+                "message_id",
+                *REPEAT_KEY,
+                at.alias("at"),
+                F.when(at.isNotNull(), key).alias("message_key"),
+                cut.alias("slice"),
+                F.monotonically_increasing_id().alias("_row"),
+            ),
+            "batch",
+        )
+        own = rows.where("at is not null").groupBy("message_key", "slice").agg(
+            F.min(F.struct("at", "message_id", "_row")).alias("first"), F.max("at").alias("last")
         )
-        rows = session.settle(rows, "batch")
-        span, at = F.expr(f"interval {keep_for}"), F.col("publish_time")
-        before = F.lag(at).over(Window.partitionBy("message_key").orderBy(at, "message_id"))
-        marked = rows.withColumn("again", F.coalesce(at <= before + span, F.lit(False)))
-        low, high = rows.agg(F.min(at - span).cast("date"), F.max(at + span).cast("date")).first()
-        if low is not None and session.exists(spark, seen):
-            columns = "message_key string, publish_time timestamp, run string, batch_id long, seen_day date"
-            earlier = (
-                spark.read.schema(columns).option("basePath", seen).parquet(seen)
-                .where((F.col("run") != run) | (F.col("batch_id") < batch_id))
-                .where(F.col("seen_day").between(low, high))
-                .select(F.col("message_key").alias("_key"), F.col("publish_time").alias("_at"))
-            )
-            near = (F.col("message_key") == F.col("_key")) & (at >= F.col("_at") - span) & (at <= F.col("_at") + span)
-            known = rows.join(earlier, near, "left_semi").select("message_id", "message_key", F.lit(True).alias("_known"))
-            marked = marked.join(known.distinct(), ["message_id", "message_key"], "left").withColumn(
-                "again", F.col("again") | F.coalesce("_known", F.lit(False))
-            )
+        own = session.settle(own, "sightings")
+        low, high = own.agg(F.min("slice"), F.max("slice")).first()
+        known = table.current(_slice_days(low, high, span, table.partitions()))
+        marked = _marked(rows, own, known, span)
         out = ["message_id", *REPEAT_KEY]
-        sink(marked.where(~F.col("again")).select(*out), batch_id)
+        sink(marked.where("not again").select(*out), batch_id)
         if repeats is not None:
             repeats(marked.where("again").select(*out), batch_id)
-        tables.batch_sink(seen, ["seen_day"])(rows.select("message_key", "publish_time", "seen_day"), batch_id)
+        time = lambda c: F.timestamp_micros(c)
+        fresh = own.select(
+            "message_key",
+            "slice",
+            F.date_format(time(F.col("slice") * span), "yyyy-MM-dd").alias("day"),
+            time(F.col("first.at")).alias("first_at"),
+            time(F.col("last")).alias("last_at"),
+        )
+        both = fresh.unionByName(known.join(fresh.select("message_key", "slice"), ["message_key", "slice"], "left_semi"))
+        table.commit(
+            both.groupBy("message_key", "slice", "day").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")),
+            run,
+            batch_id,
+        )
+        if high is not None:
+            table.expire(day_of(high * span - keep_days * 86_400_000_000))
         session.discard(rows)
+        session.discard(own)
 
     return write
 
 
-def latest_demand(readings: DataFrame) -> DataFrame:
-    """Running latest demand per device, for update mode; one row of state per device."""
-    return usage.current_demand(readings)
+def day_of(micros: int) -> str:
+    return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).strftime("%Y-%m-%d")
+
 
+def _slice_days(low: int | None, high: int | None, span: int, held: list[str]) -> list[str]:
+    """Of the days that a table holds, those of the slices and their neighbours."""
+    if low is None:
+        return []
+    first, last = day_of((low - 1) * span), day_of((high + 1) * span)
+    return [day for day in held if first <= day <= last]
 
-def newest_rows(batches: DataFrame, key: str) -> DataFrame:
-    """The last state of each key out of an update-mode sink's batches."""
-    rest = [c for c in batches.columns if c not in (key, "batch_id")]
-    newest = F.max_by(F.struct(*rest), "batch_id").alias("_row")
-    return batches.groupBy(key).agg(newest).select(key, *[F.col("_row")[c].alias(c) for c in rest])
+
+def _marked(rows: DataFrame, own: DataFrame, known: DataFrame, span: int) -> DataFrame:
+    """Rows with ``again``: not the first of their slice, or near a sighting beside it."""
+    order = Window.partitionBy("message_key").orderBy("slice")
+    own = own.withColumn("before", F.lag("last").over(order))
+    # Of earlier batches the same slice and both beside it matter.
+    near = own.select("message_key", "slice", F.explode(F.array(*[F.col("slice") + d for d in (-1, 0, 1)])).alias("_s"))
+    sighted = known.select(
+        F.col("message_key").alias("_k"),
+        F.col("slice").alias("_s2"),
+        F.unix_micros("first_at").alias("_first"),
+        F.unix_micros("last_at").alias("_last"),
+    )
+    around = (
+        near.join(sighted, (F.col("message_key") == F.col("_k")) & (F.col("_s") == F.col("_s2")))
+        .groupBy("message_key", "slice")
+        .agg(
+            F.max(F.when(F.col("_s") == F.col("slice"), True)).alias("same"),
+            F.max(F.when(F.col("_s") < F.col("slice"), F.col("_last"))).alias("left"),
+            F.min(F.when(F.col("_s") > F.col("slice"), F.col("_first"))).alias("right"),
+        )
+    )
+    facts = own.join(around, ["message_key", "slice"], "left")
+    at = F.col("at")
+    again = (
+        (F.col("_row") != F.col("first._row"))
+        | (at - F.col("before") <= span)
+        | F.col("same")
+        | (at - F.col("left") <= span)
+        | (F.col("right") - at <= span)
+    )
+    return rows.join(facts, ["message_key", "slice"], "left").withColumn("again", F.coalesce(again, F.lit(False)))
+
+
+DEMAND = (
+    StructType()
+    .add("device_eui", "string")
+    .add("location_id", "string")
+    .add("measured_at", "timestamp")
+    .add("demand_kw", "double")
+)
+
+
+def demand_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The latest demand of each device."""
+    return KeyedTable(spark, path, DEMAND, ["device_eui"], ["measured_at"])
+
+
+def demand_batches(table: KeyedTable) -> Sink:
+    """Keep ``table`` at the latest demand: a batch adds a row per device that it has."""
+
+    def write(readings: DataFrame, batch_id: int) -> None:
+        table.commit(usage.current_demand(readings), tables.run_of(readings), batch_id)
+
+    return write
 
 
 def with_clock(
@@ -185,7 +277,9 @@ def peak_alerts(
     An interval is judged when the watermark has passed its end; the last intervals
     stay open until a later message closes them.  Readings whose time does not fit
     their publish time would move the watermark or be refused by it; they are not
-    counted here but found by ``out_of_time``.
+    counted here but found by ``out_of_time``.  The transport may also deliver a reading
+    after the watermark has passed it, out of order by more than ``disorder``; Spark drops
+    such rows.  Where that can happen use ``reconcile.reconciled_alerts``, which refuses none.
     """
     in_time = with_clock(readings, late_by, **clock).where("clock = 'in_time'").drop("clock")
     in_time = in_time.withWatermark("original_mqtt_time", late_by)

@@ -196,13 +196,12 @@ def reading_files(spark, land, max_files):
     return m, decode.meter_readings(decode.decode(known, F.col("publish_time")))
 
 
-@pytest.mark.parametrize("max_files", [2])
+@pytest.mark.parametrize("max_files", [1, 2])
 def test_latest_demand_equals_batch(spark, land, tmp_path, max_files):
     m, stream = reading_files(spark, land, max_files)
-    latest = jobs.latest_demand(stream)
-    jobs.start(latest, tables.batch_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint", "update").awaitTermination()
-    batches = tables.read_batches(spark, f"{tmp_path}/out", latest.schema.add("batch_id", "long"))
-    assert rows(jobs.newest_rows(batches, "device_eui")) == rows(usage.current_demand(m.readings))
+    table = jobs.demand_table(spark, f"{tmp_path}/demand")
+    jobs.start(stream, jobs.demand_batches(table), f"{tmp_path}/checkpoint").awaitTermination()
+    assert rows(table.current()) == rows(usage.current_demand(m.readings))
 
 
 @pytest.mark.parametrize("max_files", [1, None])

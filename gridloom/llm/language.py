@@ -7,9 +7,10 @@ text is cut into windows of ``WINDOW`` bytes, the last one filled up, which are
 classified in batches; the text's language is the one with the greatest mean
 probability over its windows, each weighted by its bytes.
 
-Training takes about ``SAMPLE`` documents, shared out evenly over the languages
-and picked by hash over all labelled ones, and at most ``ROW_WINDOWS`` windows of
-each, evenly spaced.  Prediction reads every whole text and nothing but the text.
+Training takes about ``SAMPLE`` different texts, shared out evenly over the languages
+and picked by hash over all labelled ones, at least one of every language, and at most
+``ROW_WINDOWS`` windows of each, evenly spaced.  How often a text is repeated changes
+nothing.  Prediction reads every whole text and nothing but the text.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything
 if no document has a language.  Rows with a null doc_id are predicted but neither
@@ -193,16 +194,20 @@ def fit(docs: DataFrame) -> tuple[list[str], Network] | None:
     known = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold != HELD_OUT)
     )
-    # Written: one row per language.
-    counts = scratch.settle(known.groupBy("lang").agg(F.count("*").alias("n")))
+    known = known.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("hash"))
+    # Written: one row per language, of its different texts.
+    different = known.select("lang", "hash").distinct()
+    counts = scratch.settle(different.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least")))
     languages = counts.count()
     if not languages:
         return None
     share = (SAMPLE / languages) / F.col("n")
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    # An even share of the sample, at least one document in expectation, per language.
-    chosen = known.join(counts, "lang").where(draw < share).select("lang", "text")
+    draw = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
+    # An even share of the sample per language, and its text with the least hash in any case.
+    drawn = known.join(counts, "lang").where((draw < share) | (F.col("hash") == F.col("least")))
+    chosen = drawn.groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
     pieces = chosen.mapInArrow(_some_windows, "lang string, window binary").collect()
+    scratch.drop(counts)
     if not pieces:
         return None
     rows = sorted((r["lang"], bytes(r["window"])) for r in pieces)

@@ -57,6 +57,24 @@ def test_windows_hold_the_whole_text():
     assert language.windows_of(b"").shape == (1, language.WINDOW)
 
 
+def test_repeated_rows_change_nothing(spark):
+    texts = {"de": "der die das und ist nicht", "en": "the of and to in is", "fr": "le la les des une est", "es": "el los las una que por"}
+    one = [(n, text, lang) for n, (lang, text) in enumerate(texts.items()) if zlib.crc32(str(n).encode()) % 4 != 2]
+    one += [(n + 40, texts[lang] + " x", lang) for n, lang in enumerate(texts) if zlib.crc32(str(n + 40).encode()) % 4 != 2]
+    docs = spark.createDataFrame(one, "doc_id long, text string, lang string")
+    many = docs.crossJoin(spark.range(3000)).drop("id")
+    names, network = language.fit(docs)
+    again, same = language.fit(many)
+    assert names == again == sorted({lang for _, _, lang in one})
+    assert all((a == b).all() for a, b in zip(network.parameters(), same.parameters(), strict=True))
+
+
+def test_each_language_is_learned(spark):
+    rows = [(n, f"the of and {n} {'a' * (n % 50)}", "en") for n in range(4000)] + [(9000 + next(n for n in range(9) if zlib.crc32(str(9000 + n).encode()) % 4 != 2), "der die das", "de"), (9002, "", "xx"), (9003, "12", "xx")]
+    names, _ = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert names == ["de", "en"]
+
+
 def test_odd_rows(spark):
     rows = [(i, ("der die das " if i % 2 else "the of and ") * 30, "de" if i % 2 else "en", i) for i in range(60)]
     odd = [(None, "the of and", None, 1), (100, None, "en", 1), (100, "", "de", 1), (100, "12 34 _ !", "en", 1), (101, "die das " * 30_000, None, None)]

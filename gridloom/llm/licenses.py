@@ -21,10 +21,11 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cache, partial
+from math import ceil
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -158,13 +159,35 @@ def own(words: list[bytes], wanted: list[bytes], telling: list[Telling], pairs:
     return all(any(stands(place, phrase) for place in phrase.places) for phrase in telling)
 
 
+class Spans:
+    """Stretches of places, apart from each other and in order."""
+
+    def __init__(self) -> None:
+        self.lows: list[int] = []
+        self.highs: list[int] = []
+
+    def holds(self, place: int) -> bool:
+        at = bisect_right(self.lows, place) - 1
+        return at >= 0 and place <= self.highs[at]
+
+    def add(self, place: int, near: int, least: int) -> None:
+        """All places closer than ``near``; what lies below ``least`` is met no more."""
+        gone = bisect_left(self.highs, least)
+        del self.lows[:gone], self.highs[:gone]
+        low, high = place - near + 1, place + near - 1
+        first, last = bisect_left(self.highs, low), bisect_right(self.lows, high)
+        if first < last:
+            low, high = min(low, self.lows[first]), max(high, self.highs[last - 1])
+        self.lows[first:last], self.highs[first:last] = [low], [high]
+
+
 def scan(text: bytes, further: Further = ()) -> list[Match]:
     """Matches of one whole text in the order of their places."""
     texts, seeds, telling, counts = index(further)
     words = words_of(text)
     found: list[Match] = []
     done = [0] * len(texts)  # words before this place are aligned already
-    tried: dict[int, list[int]] = {}  # where alignments with a text have failed since then
+    tried: dict[int, Spans] = defaultdict(Spans)  # where alignments with a text have failed since then
     enough: dict[int, bool] = {}
     held: Counter[bytes] = Counter()
 
@@ -197,24 +220,41 @@ def scan(text: bytes, further: Further = ()) -> list[Match]:
                 slack = max(SEED, len(wanted) // 4)
                 # Alignments of a long text that start this close cover the same words.
                 near = slack // 2 if len(wanted) >= LONG else 1
-                if any(abs(first - place - before) < near for before in tried.get(number, ())):
+                start = first - place
+                if len(wanted) < SHORT:  # word for word
+                    end = start + len(wanted)
+                    if start >= done[number] and words[start:end] == wanted:
+                        found.append(Match(name, number, start, end, len(wanted), 1.0))
+                        done[number] = end
+                    continue
+                failed = tried[number]
+                if failed.holds(start):
+                    continue
+                begin = max(done[number], start - slack)
+                window = words[begin : start + len(wanted) + slack]
+                # A window moved by so many words has at most so many more of the text's.
+                short_by = COVERAGE * len(wanted) - (counts[number] & Counter(window)).total()
+                if short_by > 0:
+                    failed.add(start, max(near, ceil(short_by)), first - len(wanted))
                     continue
-                begin = max(done[number], first - place - slack)
-                window = words[begin : first - place + len(wanted) + slack]
                 pairs = align(window, wanted)
                 coverage = len(pairs) / len(wanted)
                 if coverage >= COVERAGE and own(window, wanted, telling[number], pairs):
                     start, end = begin + pairs[0][0], begin + pairs[-1][0] + 1
                     found.append(Match(name, number, start, end, len(pairs), coverage))
                     done[number] = end
-                    tried.pop(number, None)
+                    tried.pop(number)
                 else:
-                    tried.setdefault(number, []).append(first - place)
-    kept: list[Match] = []
+                    failed.add(start, near, first - len(wanted))
+    kept: list[Match] = []  # by start; they do not overlap, so neighbours tell
+    starts: list[int] = []
     for match in sorted(found, key=lambda m: (-m.matched, -m.coverage, m.start, m.template)):
-        if all(match.end <= other.start or match.start >= other.end for other in kept):
-            kept.append(match)
-    return sorted(kept, key=lambda m: m.start)
+        spot = bisect_left(starts, match.start)
+        free_before = not spot or kept[spot - 1].end <= match.start
+        if free_before and (spot == len(kept) or kept[spot].start >= match.end):
+            starts.insert(spot, match.start)
+            kept.insert(spot, match)
+    return kept
 
 
 _MATCHES = "array<struct<license: string, start: int, end: int, coverage: double>>"

@@ -1,6 +1,7 @@
 """Alignment against brute force, and planted license texts."""
 
 import random
+import time
 
 import pytest
 
@@ -154,3 +155,33 @@ def test_further_texts(spark):
     (row,) = licenses.license_scan(docs, {"House-7": ["Use this as the House License 7 allows."]}).collect()
     assert (row.licenses, row.n_matches, row.n_license_words) == ("House-7", 1, 8)
     assert licenses.license_scan(docs).first().licenses == ""
+
+
+FULL = {name: max(forms, key=len) for name, forms in TEMPLATES.items()}
+PART = " ".join(FULL["GPL-3.0"].split()[:3000])
+REPEATED = {
+    "lines": (min(FULL.values(), key=len) + "\n", 8000),
+    "whole licenses": (FULL["GPL-3.0"] + "\n", 30),
+    "parts of a license": (PART + " and so on ", 50),
+    "two licenses in turn": (FULL["Apache-2.0"] + "\n" + FULL["MPL-2.0"] + "\n", 30),
+}
+
+
+@pytest.mark.parametrize("name", sorted(REPEATED))
+def test_long_repeated_texts_end(name):
+    text, times = REPEATED[name]
+    whole = (text * times)[:1_000_000].encode()
+    licenses.index()
+    took = []
+    for part in (whole[: len(whole) // 4], whole):
+        began = time.perf_counter()
+        found = licenses.scan(part)
+        took.append(time.perf_counter() - began)
+    # In proportion: four times the text in about four times the time, not sixteen.
+    assert took[1] < 8 * took[0] + 1
+    if name in ("whole licenses", "two licenses in turn"):
+        each = len(licenses.scan(text.encode()))
+        assert len(found) >= (len(whole) // len(text)) * each
+    if name == "lines":
+        assert len(found) == whole.count(b"\n")
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))

@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -64,6 +65,7 @@ BLOCKS = frozenset(
 NO_TEXT = frozenset("head nav aside footer form button dialog menu fieldset".split())
 CLOSES_P = BLOCKS - {"html", "body", "optgroup", "option"}
 CLOSED_BY_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+PARAGRAPH = frozenset({"p"})
 SCOPES = frozenset("ul ol dl table div article section body html".split())
 NO_TEXT_NAMES = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs masthead banner topbar footer sidebar aside widget "
@@ -87,11 +89,8 @@ COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split(
 WHOLE = frozenset("html body main article".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_OPENING = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 _LONG_NUMBER = re.compile(r"\d{3,}")
@@ -111,10 +110,11 @@ def _number(*parts: str) -> int:
 @dataclass(slots=True)
 class Element:
     tag: str
-    path: str
+    path: int  # a running number of the tags and names from the page down
     silent: bool  # of no importance on any page
     article: bool
-    up: Element | None
+    top: Element | None  # the outermost article around it, itself included
+    inside: bool  # it is no page of its own: some element is around it
     shape: list[str] = field(default_factory=list)  # child elements, runs as one
 
 
@@ -155,62 +155,123 @@ def _opened(tag: str, attributes: str, up: Element) -> Element:
     style = ".".join([tag, *sorted({_LONG_NUMBER.sub("#", word) for word in labels.split()})])
     if not up.shape or up.shape[-1] != style:
         up.shape.append(style)
-    return Element(tag, f"{up.path}/{style}", silent, article and not silent, up)
+    article = article and not silent
+    path = xxhash.xxh64_intdigest(style.encode("utf-8", "replace"), up.path)
+    own = Element(tag, path, silent, article, up.top if article else None, True)
+    if article and own.top is None:
+        own.top = own
+    return own
+
+
+class _Tags:
+    """Tags of a page from left to right, each character looked at a bounded number of times.
+
+    A quote that is not closed before the page ends would have every later tag look for
+    its end in vain; once that happens, tags of the page end at the next ``>``.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.quotes = page, True
+        self.last = page.rfind(">")
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """Start, end, whether it closes, name (None of comments and declarations), attributes."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            mark = page[start + 1 : start + 2]
+            if mark == "!":
+                for begin, stop in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                    if page.startswith(begin, start):
+                        end = page.find(stop, start + len(begin))
+                        return start, end + len(stop) if end >= 0 else len(page), False, None, ""
+            if start < self.last:
+                if mark in ("!", "?"):
+                    return start, page.index(">", start) + 1, False, None, ""
+                found = _OPENING.match(page, start)
+                if found:
+                    after = found.end()
+                    end = after + 1 if page[after] == ">" else self._end(after)
+                    return start, end, mark == "/", found[1], page[after : end - 1]
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        page, first = self.page, at
+        while self.quotes:
+            found = _QUOTE_OR_END.search(page, at)
+            if found is None:
+                break
+            if found[0] == ">":
+                return found.end()
+            at = page.find(found[0], found.end()) + 1
+            if not at:
+                break
+        self.quotes = False
+        return page.index(">", first) + 1
 
 
 def parse(page: str) -> tuple[list[Block], list[Element]]:
     """Text blocks in page order, silent ones left out, and the elements that were opened."""
-    root = Element("", "", False, False, None)
-    now, elements, blocks, held = root, [], [], []
+    root = Element("", 1, False, False, None, False)
+    elements, blocks, held = [], [], []
+    # The open elements, and per tag the depths at which it is open.
+    stack, depths, block_depths = [root], defaultdict(list), [0]
     at, unclosed = 0, set()
+    tags = _Tags(page)
 
     def ended() -> None:
         text = " ".join("".join(held).split())
         held.clear()
-        if text and not now.silent:
-            place = now
-            while place.tag not in BLOCKS and place.up is not None:
-                place = place.up
-            blocks.append(Block(text, place))
-
-    def close(tags: set[str] | frozenset[str], stop: frozenset[str]) -> None:
-        """Closes the nearest open element of ``tags``, and all inside it."""
-        nonlocal now
-        place = now
-        while place is not root:
-            if place.tag in tags:
-                ended()
-                now = place.up or root
-                return
-            if place.tag in stop:
-                return
-            place = place.up or root
-
-    for found in iter(lambda: _TAG.search(page, at), None):
-        if found.start() > at and not now.silent:
-            held.append(html.unescape(page[at : found.start()]))
-        at = found.end()
-        if found[2] is None:
+        if text and not stack[-1].silent:
+            blocks.append(Block(text, stack[block_depths[-1]]))
+
+    def leave(depth: int) -> None:
+        """Closes the element at a depth and all inside it."""
+        while len(stack) > depth:
+            tag = stack.pop().tag
+            depths[tag].pop()
+            if tag in BLOCKS:
+                block_depths.pop()
+
+    def deepest(names: set[str] | frozenset[str]) -> int:
+        depth = 0
+        for name in names:
+            if (own := depths.get(name)) and own[-1] > depth:
+                depth = own[-1]
+        return depth
+
+    def close(names: set[str] | frozenset[str], stop: frozenset[str]) -> None:
+        """Closes the nearest open element of ``names``, unless one of ``stop`` is nearer."""
+        depth = deepest(names)
+        if depth and (not stop or depth >= deepest(stop)):
+            ended()
+            leave(depth)
+
+    while (found := tags.next(at)) is not None:
+        start, end, closes, name, attributes = found
+        now = stack[-1]
+        if start > at and not now.silent:
+            held.append(html.unescape(page[at:start]))
+        at = end
+        if name is None:
             continue
-        tag = found[2].lower()
-        if found[1]:
+        tag = name.lower()
+        if closes:
             if tag in BLOCKS:
                 close({tag}, frozenset())
             elif not now.silent or now.tag == tag:
-                place = now
-                while place is not root and place.tag not in BLOCKS and place.tag != tag:
-                    place = place.up or root
-                if place.tag == tag:
-                    if place.silent:
+                depth = depths[tag][-1] if depths[tag] else 0
+                if depth > block_depths[-1]:
+                    if stack[depth].silent:
                         ended()
-                    now = place.up or root
+                    leave(depth)
             continue
         if tag in RAW:
-            if found[3].endswith("/") or tag in unclosed:
+            if attributes.endswith("/") or tag in unclosed:
                 continue
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end:
-                at = end.end()
+            finish = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if finish:
+                at = finish.end()
             elif tag in RAW_TO_THE_END:
                 at = len(page)
             else:
@@ -223,15 +284,19 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
                 held.append(" ")
             continue
         if tag in CLOSES_P:
-            close(frozenset({"p"}), SCOPES - {"p"})
+            close(PARAGRAPH, SCOPES)
         if tag in CLOSED_BY_LIKE:
             close(CLOSED_BY_LIKE[tag], SCOPES)
-        opened = _opened(tag, found[3], now)
+        now = stack[-1]
+        opened = _opened(tag, attributes, now)
         if tag in BLOCKS or opened.silent != now.silent:
             ended()
-        now = opened
+        if tag in BLOCKS:
+            block_depths.append(len(stack))
+        depths[tag].append(len(stack))
+        stack.append(opened)
         elements.append(opened)
-    if at < len(page) and not now.silent:
+    if at < len(page) and not stack[-1].silent:
         held.append(html.unescape(page[at:]))
     ended()
     return blocks, elements
@@ -239,7 +304,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
 
 def _judged(block: Block) -> bool:
     """Text right in the page itself has no node that could be judged."""
-    return block.at.up is not None and block.at.tag not in ("html", "body")
+    return block.at.inside and block.at.tag not in ("html", "body")
 
 
 def _page_key(blocks: list[Block]) -> int:
@@ -271,12 +336,12 @@ def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not judged:
                 continue
             key = _page_key(blocks)
-            seen: dict[str, tuple[int, bool]] = {}
+            seen: dict[int, tuple[int, bool]] = {}
             for block in judged:
                 node = block.at
                 if node.path not in seen:
                     inner = any(style.split(".")[0] in BLOCKS for style in node.shape)
-                    number = _number(host, node.path)
+                    number = _number(host, str(node.path))
                     seen[node.path] = (number, inner)
                     out.add((number, inner, True, _number(*node.shape), key))
                 out.add((*seen[node.path], False, _number(block.text), key))
@@ -322,12 +387,7 @@ def low_nodes(importance: DataFrame) -> DataFrame:
 def _scope(blocks: list[Block], stay: list[Block]) -> list[Block]:
     """The blocks of the page's article: of the only one, or of several with most of the important text."""
     inside = [block for block in blocks if block.at.article]
-    articles = set()
-    for block in inside:
-        place = block.at
-        while place.up is not None and place.up.article:
-            place = place.up
-        articles.add(id(place))
+    articles = {id(block.at.top) for block in inside}
     if len(articles) > 1:
         outside = sum(len(block.text) for block in stay if not block.at.article)
         if sum(len(block.text) for block in stay if block.at.article) <= outside:
@@ -337,12 +397,12 @@ def _scope(blocks: list[Block], stay: list[Block]) -> list[Block]:
 
 def main_text(page: str, host: str, low: frozenset[int] | set[int]) -> str:
     blocks, _ = parse(page)
-    judged: dict[str, bool] = {}
+    judged: dict[int, bool] = {}
 
     def important(block: Block) -> bool:
         path = block.at.path
         if path not in judged:
-            judged[path] = _judged(block) and _number(host, path) in low
+            judged[path] = _judged(block) and _number(host, str(path)) in low
         return not judged[path]
 
     stay = [block for block in blocks if not low or important(block)]
@@ -366,7 +426,7 @@ def _own_nodes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, url, page in zip(*(batch.column(c).to_pylist() for c in ("_page", "url", "html")), strict=True):
             host = host_of(url)
             paths = {block.at.path for block in parse(page or "")[0] if _judged(block)}
-            out |= {(key, _number(host, path)) for path in paths}
+            out |= {(key, _number(host, str(path))) for path in paths}
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(out), strict=True)], ["_page", "node"])
 

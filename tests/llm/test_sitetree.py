@@ -3,7 +3,9 @@
 import html as markup
 import random
 import re
+import time
 
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import sitetree
@@ -164,3 +166,37 @@ def test_several_articles_with_most_of_the_text():
     many = "<p>out</p><article><p>first of two</p></article><article><p>second of two</p></article>"
     assert text(many) == "first of two\n\nsecond of two"
     assert text("<p>out, and long</p><main><article>a</article><article>b</article></main>") == "a\n\nb"
+
+
+LONG = 1_000_000
+BROKEN = {
+    "open tags": "<b>" + "<i " * (LONG // 3),
+    "open tags with an end": "<b>" + "<i " * (LONG // 3) + "\">x",
+    "open quotes": "<" + 'a"' * (LONG // 2),
+    "quoted ends": "<a '>' " * (LONG // 7),
+    "names without end": "<a" * (LONG // 2),
+    "nested": "<div>x" * 100_000 + "<p>y" * 50_000,
+    "nested, closed by others": "<div>x" * 100_000 + "</section></span>" * 50_000,
+    "nested inline": "<p>" + "<b>" * 100_000 + "<h1>x</h1>" * 50_000 + "</i>" * 50_000,
+    "articles in articles": "<article>x<div>" * 60_000,
+    "comments": "<!--" * (LONG // 4),
+    "declarations": "<!x" * (LONG // 3),
+    "scripts without end": "<p>a</p><svg>" * 60_000 + "<script>" * 10_000,
+    "references": "&amp;&#x41;&" * (LONG // 12),
+    "attributes": "<div " + "a='b' " * (LONG // 6) + ">text",
+    "blank attributes": "<div a" + " " * LONG + ">text",
+    "rows and cells": "<table>" + "<tr><td>1<td>2" * 60_000,
+}
+
+
+@pytest.mark.parametrize("name", sorted(BROKEN))
+def test_long_broken_pages_end(name):
+    began = time.perf_counter()
+    sitetree.main_text(BROKEN[name], "h", {1})
+    list(sitetree._features(iter([pa.RecordBatch.from_pydict({"url": ["http://h/"], "html": [BROKEN[name]]})])))
+    assert time.perf_counter() - began < 15  # two parses, on a slow machine
+
+
+def test_unclosed_quotes_end_at_the_next_end():
+    assert sitetree.main_text('<p>a</p><p title="x>b</p><p>c</p>', "h", set()) == "a\n\nb\n\nc"
+    assert sitetree.main_text("<p title='x>y'>b</p>", "h", set()) == "b"

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.plans import energy, messages, oracle_energy, oracle_messages, oracle_streams, streams
+from gridloom.plans import (
+    energy,
+    history,
+    messages,
+    oracle_energy,
+    oracle_history,
+    oracle_messages,
+    oracle_streams,
+    streams,
+)
 from gridloom.plans.meter import Meter, comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +30,9 @@ def _over_tables(plan: Callable[[Meter], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {plan.__name__: _over_tables(plan) for plan in [*messages.QUERIES, *energy.QUERIES, *streams.QUERIES]}
+    plans = [*messages.QUERIES, *energy.QUERIES, *history.QUERIES, *streams.QUERIES]
+    return {plan.__name__: _over_tables(plan) for plan in plans}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_messages.ORACLE, **oracle_energy.ORACLE, **oracle_streams.ORACLE}
+    return {**oracle_messages.ORACLE, **oracle_energy.ORACLE, **oracle_history.ORACLE, **oracle_streams.ORACLE}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.sources.derived import location_of_nation
+from gridloom.operators import ledger
+from gridloom.sources.derived import location_of_nation, registry_rows
 
 # Our default parameters.
 AS_OF = "2024-01-31 00:00:00"
@@ -101,3 +102,72 @@ def offered_tariffs(supplier: DataFrame) -> DataFrame:
         F.lit("offer").alias("period"),
         F.lit(0.25).alias("rate"),
     )
+
+
+# When the registry was copied, and when reports were drawn.
+SNAPSHOTS = ["2024-01-01 00:00:00", "2024-01-11 00:00:00", "2024-01-21 12:00:00"]
+KNOWN_AT = ["2024-01-15 00:00:00", "2024-01-31 12:00:00"]
+
+
+def snapshots(customer: DataFrame) -> DataFrame:
+    """Three copies of the registry: every 6th device gets another client in the second, every
+    10th another place in the third, and every 13th is missing from the second."""
+    base = registry_rows(customer.where(F.col("c_custkey") % 7 != 0))
+    n = F.substring("device_eui", 5, 20).cast("bigint")
+    nation = F.substring("location_id", 5, 20).cast("bigint")
+    copies = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.lit(t).cast("timestamp").alias("at")) for i, t in enumerate(SNAPSHOTS)]))
+    k = F.col("_copy.k")
+    return (
+        base.withColumn("_copy", copies)
+        .where(~((k == 1) & (n % 13 == 0)))
+        .select(
+            F.col("_copy.at").alias("taken_at"),
+            "device_eui",
+            F.when((k >= 1) & (n % 6 == 0), F.concat(F.lit("MOVED-"), "client_id")).otherwise(F.col("client_id")).alias("client_id"),
+            F.when((k >= 2) & (n % 10 == 0), location_of_nation((nation + 1) % 25)).otherwise(F.col("location_id")).alias("location_id"),
+            "device_category",
+        )
+    )
+
+
+def ledger_entries(events: DataFrame) -> DataFrame:
+    """Every 500th message is adjusted a day later; every 1000th entry was wrong, is
+    reversed two days after and entered anew."""
+    after = lambda days: F.timestamp_add("DAY", F.lit(days), F.col("ts").cast("timestamp"))
+    name = F.concat(F.lit("E"), F.col("event_id").cast("string"))
+    entry = lambda rows, name, days, kwh, why: rows.select(
+        name.alias("entry_id"),
+        F.concat(F.lit("DEV-"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("device_eui"),
+        F.to_date("ts").alias("day"),
+        after(days).alias("recorded_at"),
+        F.lit(kwh).alias("kwh"),
+        F.lit(why).alias("justification"),
+        F.lit(None).cast("string").alias("reverses"),
+    )
+    first = entry(events.where(F.col("event_id") % 500 == 0), name, 1, -1.0, "meter test")
+    wrong = events.where(F.col("event_id") % 1000 == 0)
+    counter = ledger.reversals(
+        first, wrong.select(name.alias("entry_id"), after(3).alias("recorded_at"), F.lit("wrong amount").alias("justification"))
+    )
+    again = entry(wrong, F.concat(name, F.lit("-2")), 3, -0.5, "meter test")
+    return first.unionByName(counter).unionByName(again)
+
+
+def asked_ranges(nation: DataFrame) -> DataFrame:
+    """A range per location: seven hours a nation later at its start, five earlier at its end."""
+    key = F.col("n_nationkey").cast("int")
+    start, end = (F.lit(t).cast("timestamp") for t in ("2023-12-30 00:00:00", "2024-02-02 00:00:00"))
+    return nation.select(
+        location_of_nation(F.col("n_nationkey")).alias("location_id"),
+        F.timestamp_add("HOUR", key * 7, start).alias("range_start"),
+        F.timestamp_add("HOUR", -key * 5, end).alias("range_end"),
+    )
+
+
+def report_rules(spark: SparkSession) -> DataFrame:
+    return spark.sql(
+        "select * from values ('overuse', 'ops', 'kind', '=', 'interval'), ('overuse', 'ops', 'value', '>=', '60'),"
+        " ('sudden', 'ops', 'kind', 'in', 'spike|drop'), ('fault', 'service', 'kind', 'starts with', 'fault'),"
+        " ('unusual', 'exec', 'kind', 'in', 'offhours|baseline'), ('large', 'exec', 'value', '>', '100')"
+        " as t(name, report_group, field, compare, value)"
+    )

@@ -6,8 +6,9 @@ ones count one each without any merging, and only the rest is merged, each
 different pre-token once per process while it stays in a bounded cache.
 
 The cutting rule is stated for characters whose lower case is one character
-below ``tokens.PLAIN``.  Texts with others, or with the opening of a special
-token, go through the library as a whole, special strings handled as its default.
+below ``tokens.PLAIN``.  No token reaches over white space, so a text with others, or with
+the opening of a special token, is cut there, and only the runs that hold such characters go
+through the library, each different short one once; special strings are handled as its default.
 
 Null text counts as empty: no bytes, no tokens.  Repeated rows and null ids are
 returned as they are; further columns are ignored.  An empty table gives an empty
@@ -38,6 +39,10 @@ _RULE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}
 #: Upper case that leaves the plain range when it is lower-cased.
 _LEAVES = "".join(chr(p) for p in range(PLAIN) if len(chr(p).lower()) > 1 or ord(chr(p).lower()) >= PLAIN)
 _OTHER = re.compile(f"[^\\x00-{chr(PLAIN - 1)}]|[{_LEAVES}]|<\\|")
+#: What stands between white space of ASCII, at which every text may be cut.
+_RUN = re.compile("[^\t-\r ]+")
+#: Longest run, in characters, whose count is kept for later texts.
+REMEMBERED = 64
 
 
 @cache
@@ -61,6 +66,19 @@ def proven(name: str = TOKENIZER) -> frozenset[str]:
     return frozenset(w for w, n in zip(words, _counts(tokenizer, words), strict=True) if n == 1)
 
 
+def _cut(text: str) -> tuple[list[str], list[str]]:
+    """Pre-tokens and runs for the library, and of the latter those too long to be remembered."""
+    part, long = [], []
+    for run in _RUN.findall(text):
+        if not _OTHER.search(run):
+            part += _RULE.findall(run.lower())
+        elif len(run) <= REMEMBERED:
+            part.append(run)
+        else:
+            long.append(run)
+    return part, long
+
+
 class Counter:
     """Counts texts; ``known`` starts with the proven strings."""
 
@@ -69,12 +87,14 @@ class Counter:
         self.known = tokens.Known(dict.fromkeys(whole, 1))
 
     def counts(self, texts: list[str]) -> list[int]:
-        parts = [None if _OTHER.search(t) else _RULE.findall(t.lower()) for t in texts]
+        parts, long = [], []
+        for text in texts:
+            part, runs = (_RULE.findall(text.lower()), []) if not _OTHER.search(text) else _cut(text)
+            parts.append(part)
+            long.append(runs)
         known = self.known.learned(parts, lambda new: _counts(self.tokenizer, new))
-        return [
-            sum(map(known, part)) if part is not None else _counts(self.tokenizer, [text])[0]
-            for part, text in zip(parts, texts, strict=True)
-        ]
+        found = iter(_counts(self.tokenizer, [run for runs in long for run in runs]))
+        return [sum(map(known, part)) + sum(next(found) for _ in runs) for part, runs in zip(parts, long, strict=True)]
 
 
 _counters: dict[str, Counter] = {}

@@ -31,6 +31,31 @@ def test_counts_equal_the_library(whole):
     assert token_counts.Counter("word_bpe_49k.json", whole).counts(texts) == library_counts(texts)
 
 
+PIECES = [
+    "\u201cquoted\u201d", "it\u2019s", "\u2014", "漢字", "漢" * 90, "ΟΔΟΣ", "ΣΑΣ,ΣΣ", "σς", "e\u0301", "\u0301", "\u200b", "\u200d", "\ufeff", "\u2003", "\u3000",
+    "\u0345Σ", "İ", "K", "ﬁ", "<|startoftext|>", "<|endoftext|>", "<|end", "\u00a0", "\x85", "\x1c", "\x00", "가각", "ᄀ", "ᅡ", "🙂", "👨\u200d👩", "plain", "don't", "x1", "...",
+    "'ll", "\u0958", "\U0001d15e", "\u1e9e", "ǆ", "ŉ",
+]
+
+
+def test_texts_with_other_characters(whole):
+    """Runs between white space are cut off only where the library's result stays the same."""
+    draw = random.Random(11)
+    spaces = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "", ""]
+    texts = ["".join(draw.choice(PIECES) + draw.choice(spaces) for _ in range(draw.randrange(1, 14))) for _ in range(6000)]
+    texts += [draw.choice(spaces[:7]) + a + s + b for a in PIECES for b in PIECES for s in (" ", "\n")]
+    assert token_counts.Counter("word_bpe_49k.json", whole).counts(texts) == library_counts(texts)
+
+
+def test_only_runs_with_other_characters_go_to_the_library(whole, monkeypatch):
+    counter = token_counts.Counter("word_bpe_49k.json", whole)
+    asked = []
+    counts = token_counts._counts
+    monkeypatch.setattr(token_counts, "_counts", lambda t, texts: asked.extend(texts) or counts(t, texts))
+    counter.counts(["the of and in \u201cto\u201d the of " + "漢" * 100] * 3)
+    assert sorted(asked) == sorted(["\u201cto\u201d", *["漢" * 100] * 3])
+
+
 def test_every_document(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: tuple(r)[1:] for r in token_counts.op4_token_counts(spark, sf_dir).collect()}

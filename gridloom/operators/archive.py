@@ -96,6 +96,18 @@ def archive_batches(records: DataFrame, threshold: int = BATCH_THRESHOLD) -> Dat
     )
 
 
+def retention_folders(folders: DataFrame, as_of: Column, age_days: int) -> DataFrame:
+    """The same from the archive's own files (``landed.archive_folders``): no message is read."""
+    day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+    age = F.date_diff(F.to_date(as_of), day)
+    return (
+        folders.groupBy("year", "month", "day", "location")
+        .agg(F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"))
+        .withColumn("age_days", age)
+        .where(F.col("age_days") >= age_days)
+    )
+
+
 def retention_candidates(partitions: DataFrame, as_of: Column, age_days: int) -> DataFrame:
     """Days and locations old enough for the age rule at ``as_of``."""
     day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridloom.operators.joins import asof_join, lookup_join
+from gridloom.operators.joins import asof_carry, asof_join, fits_broadcast, lookup_join
 from gridloom.operators.usage import energy_rows
 
 
@@ -15,9 +15,26 @@ def with_factors(facts: DataFrame, regions: DataFrame, factors: DataFrame, at: s
 
 
 def daily_emissions(readings: DataFrame, regions: DataFrame, factors: DataFrame) -> DataFrame:
-    """Energy and CO2e per location, category, day and factor, summed before the shuffle."""
+    """Energy and CO2e per location, category, day and factor.
+
+    Readings are summed by hour before they move; only in an hour inside which the
+    region's factor changes do they keep their own time.  The factors then meet these sums,
+    not the readings.
+    """
+    placed = lookup_join(energy_rows(readings), regions, ["location_id"], ["at"])
+    hour = F.date_trunc("hour", F.col("at"))
+    changes = (
+        factors.select("region", F.date_trunc("hour", "valid_from").alias("_hour"), (F.date_trunc("hour", "valid_from") != F.col("valid_from")).alias("_inside"))
+        .where("_inside").distinct()
+    )
+    marked = lookup_join(placed.withColumn("_hour", hour), changes, ["region", "_hour"], ["at"], fits=fits_broadcast(factors))
+    sums = (
+        marked.withColumn("at", F.when(F.col("_inside"), F.col("at")).otherwise(F.col("_hour")))
+        .groupBy("region", "location_id", "device_category", "at")
+        .agg(F.sum("kwh").alias("kwh"))
+    )
     return (
-        with_factors(energy_rows(readings), regions, factors)
+        asof_carry(sums, factors, ["region"], "at", "valid_from", ["factor"])
         .groupBy("region", "location_id", "device_category", F.to_date("at").alias("day"), "factor")
         .agg(
             F.coalesce(F.sum("kwh"), F.lit(0.0)).alias("kwh"),

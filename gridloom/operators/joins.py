@@ -130,3 +130,44 @@ def asof_join(
     for v in values:
         out = out.withColumn(v, picked[v])
     return out.drop("_ended", "_open", "_open_from")
+
+
+def asof_carry(
+    facts: DataFrame,
+    dim: DataFrame,
+    by: Sequence[str],
+    fact_time: str,
+    valid_from: str,
+    values: Sequence[str],
+) -> DataFrame:
+    """The same result by merging: facts and dimension rows in one order, the last value carried.
+
+    Both are cut by key and day and sorted together; a day begins with one row that carries
+    the value in force, so no task holds a key's whole history and no fact meets more than
+    one dimension row.  Days after a key's last change take its last value without
+    the merge.  For histories too dense or too long to broadcast.
+    """
+    by, at = list(by), F.col(fact_time)
+    history = dim.groupBy(*by, valid_from).agg(F.max(F.struct(*[F.col(v) for v in values])).alias("_value"))
+    history = history.select(*by, F.col(valid_from).alias("_at"), "_value", F.to_date(valid_from).alias("_day"))
+    ends = history.groupBy(*by).agg(
+        F.min("_day").alias("_first"), F.max("_day").alias("_last"), F.max_by("_value", "_at").alias("_final")
+    )
+    # A day's carried row has the last value of the days before.
+    days = ends.select(*by, F.explode(F.sequence("_first", "_last")).alias("_day"))
+    closing = history.groupBy(*by, "_day").agg(F.max_by("_value", "_at").alias("_closing"))
+    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.join(closing, [*by, "_day"], "left").select(
+        *by, F.col("_day").cast("timestamp").alias("_at"), F.last("_closing", ignorenulls=True).over(before).alias("_value"), "_day"
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    merged = (
+        facts.select(*by, at.alias("_at"), F.to_date(at).alias("_day"), row.alias("_row"), F.lit(2).alias("_kind"))
+        .unionByName(history.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+        .unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    )
+    inside = Window.partitionBy(*by, "_day").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = merged.withColumn("_value", F.last("_value", ignorenulls=True).over(inside)).where("_kind = 2")
+    found = lookup_join(found, ends.drop("_first"), by, ["_at"], fits=fits_broadcast(dim))
+    value = F.when(F.col("_day") > F.col("_last"), F.col("_final")).otherwise(F.col("_value"))
+    return found.select("_row.*", *[value[v].alias(v) for v in values])

@@ -270,6 +270,44 @@ def peak_alerts(
     return judged.select("location_id", "interval_start", "kwh", "threshold_kwh", "level")
 
 
+def alert_episodes(
+    readings: DataFrame, thresholds: DataFrame, share: float = 0.8, keep: float = 0.6, minutes: int = 15
+) -> DataFrame:
+    """Stretches of consecutive intervals near the threshold, one row each, batch or stream.
+
+    An episode goes on while intervals have at least ``keep`` of the threshold and
+    counts if one of them reaches ``share``, so a load that swings around the limit
+    is one alert, not many.  A stream needs a watermark on the readings' time.
+    """
+    slots = (
+        energy_rows(readings)
+        .groupBy("location_id", F.window("at", f"{minutes} minutes"))
+        .agg(F.coalesce(F.sum("kwh"), F.lit(0.0)).alias("kwh"))
+        .select("location_id", F.window_time("window").alias("_t"), F.col("window.start").alias("interval_start"), "kwh")
+    )
+    kwh, limit = F.col("kwh"), F.col("threshold_kwh")
+    near = judge(slots, thresholds, share).where(kwh >= limit * keep)
+    start = F.unix_micros("interval_start")
+    return (
+        near.groupBy("location_id", F.session_window("_t", f"{minutes} minutes"))
+        .agg(
+            F.min("interval_start").alias("begin"),
+            F.timestamp_add("MINUTE", F.lit(minutes), F.max("interval_start")).alias("end"),
+            F.count("*").alias("n_intervals"),
+            F.sum("kwh").alias("kwh"),
+            # The earliest of the greatest.
+            F.max(F.struct("kwh", (-start).alias("t"), "interval_start")).alias("_peak"),
+            F.bool_or(F.col("level").isNotNull()).alias("_alert"),
+            F.bool_or(F.coalesce(F.col("level") == "breach", F.lit(False))).alias("breach"),
+        )
+        .where("_alert")
+        .select(
+            "location_id", "begin", "end", "n_intervals", "kwh",
+            F.col("_peak.kwh").alias("peak_kwh"), F.col("_peak.interval_start").alias("peak_start"), "breach",
+        )
+    )
+
+
 def without_threshold(location_intervals: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Locations that no alert can be raised for, with the energy that goes unjudged."""
     open_ended = judge(location_intervals, thresholds).where(F.col("threshold_kwh").isNull())

@@ -78,6 +78,10 @@ def peak_alerts(m: Meter) -> DataFrame:
     return usage.peak_alerts(places, parameters.thresholds(_locations(m)))
 
 
+def alert_episodes(m: Meter) -> DataFrame:
+    return usage.alert_episodes(m.readings, parameters.thresholds(_locations(m)))
+
+
 def demand_peaks(m: Meter) -> DataFrame:
     return tariffs.demand_peaks(m.readings, _tariffs(m))
 
@@ -244,6 +248,7 @@ QUERIES = [
     usage_trend,
     usage_vs_target,
     peak_alerts,
+    alert_episodes,
     demand_peaks,
     tariff_match,
     tariff_overlaps,

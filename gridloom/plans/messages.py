@@ -190,6 +190,14 @@ def retention_candidates(m: Meter) -> DataFrame:
     return archive.retention_candidates(accepted, F.lit(AS_OF).cast("timestamp"), RETENTION_DAYS)
 
 
+def retention_folders(m: Meter) -> DataFrame:
+    """The same days and locations, from the files of a written archive."""
+    path = tables.archive_path(session.shared_folder(m.spark, "archive"))
+    tables.write_archive(m.archived, path)
+    due = archive.retention_folders(landed.archive_folders(m.spark, path), F.lit(AS_OF).cast("timestamp"), RETENTION_DAYS)
+    return due.select("year", "month", "day", "location", "age_days")
+
+
 def verify_records(m: Meter) -> DataFrame:
     return m.verified
 
@@ -258,6 +266,7 @@ QUERIES = [
     archive_batches,
     archive_read_range,
     retention_candidates,
+    retention_folders,
     verify_records,
     verify_summary,
     verify_by_device,

@@ -129,6 +129,14 @@ _SELECTS: dict[str, tuple[str, str]] = {
          using (location_id)""",
     ),
     "peak_alerts": (ALERTS, "select * from alerts"),
+    "alert_episodes": (
+        PRICED,
+        """select location_id, min(interval_start) "begin", max(interval_start) + interval 15 minute "end", count(*) n_intervals, sum(kwh) kwh,
+         max(kwh) peak_kwh, arg_min(interval_start, (-kwh, interval_start)) peak_start, max(kwh) >= 64 breach from (
+         select *, sum(case when interval_start - before <= interval 15 minute then 0 else 1 end) over (partition by location_id order by interval_start) n from (
+         select *, lag(interval_start) over (partition by location_id order by interval_start) before from place_slots where kwh >= 64.0::double * 0.6::double))
+         group by location_id, n having max(kwh) >= 51.2::double""",
+    ),
     "demand_peaks": (
         PRICED,
         """select location_id, period, interval_start, kwh peak_kwh, kwh * 4 peak_kw from (

@@ -244,6 +244,12 @@ _SELECTS: dict[str, tuple[str, str]] = {
          from (select publish_time::date d, place from archived)
          where date '2024-01-31' - d >= 14 group by d, place""",
     ),
+    "retention_folders": (
+        ARCHIVED,
+        """select distinct strftime(publish_time, '%Y') "year", strftime(publish_time, '%m') "month", strftime(publish_time, '%d') "day",
+         place as location, (date '2024-01-31' - publish_time::date)::int age_days
+         from archived where date '2024-01-31' - publish_time::date >= 14""",
+    ),
     "verify_records": (VERIFIED, "select * from verified"),
     "verify_summary": (
         VERIFIED,

@@ -86,6 +86,55 @@ def write_layout(
     df.write.mode("append").partitionBy("partition_time").parquet(path)
 
 
+#: Boundaries per clustering field, and rows that are looked at to find them.
+CLUSTER_BITS = 6
+CLUSTER_SAMPLE = 20_000
+
+
+def cluster_key(df: DataFrame, fields: Sequence[str]) -> Column:
+    """One number that is close for rows that are close in every field.
+
+    A field's rank among boundaries from a bounded sample has ``CLUSTER_BITS`` bits; the bits of
+    all fields are interleaved.  The boundaries steer only where rows lie, not what is read.
+    """
+    n = (1 << CLUSTER_BITS) - 1
+    total = df.count()
+    share = min(1.0, 2 * CLUSTER_SAMPLE / total) if total else 1.0
+    rows = df.select(*fields).sample(share, seed=1).limit(CLUSTER_SAMPLE).collect()
+    key = F.lit(0).cast("long")
+    for place, field in enumerate(fields):
+        values = sorted(v for v in (r[place] for r in rows) if v is not None)
+        cuts = sorted({values[len(values) * (i + 1) // (n + 1)] for i in range(n)}) if values else []
+        rank = _rank(F.col(field), cuts)
+        for bit in range(CLUSTER_BITS):
+            own = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
+            key = key.bitwiseOR(F.shiftleft(own, bit * len(fields) + place))
+    return key
+
+
+def _rank(value: Column, cuts: list, first: int = 0) -> Column:
+    """How many of the sorted cuts are not above the value, by halving; NULL ranks first."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    high = _rank(value, cuts[middle + 1 :], first + middle + 1)
+    return F.when(value >= F.lit(cuts[middle]), high).otherwise(_rank(value, cuts[:middle], first))
+
+
+def write_clustered(
+    df: DataFrame, path: str, field: str, unit: str, cluster: Sequence[str], rows_per_file: int = 1_000_000
+) -> None:
+    """A partitioned table whose files do not overlap much in any clustering field.
+
+    Rows are cut by range of (partition, interleaved key), so a filter on any of the fields
+    leaves most files out by their minimum and maximum.  ``df`` should be a table: it is
+    read to find the ranges.
+    """
+    placed = layout(df, field, unit).withColumn("_z", cluster_key(df, cluster))
+    ranges = placed.repartitionByRange("partition_time", "_z").sortWithinPartitions("partition_time", "_z")
+    ranges.drop("_z").write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("partition_time").parquet(path)
+
+
 def by_day(readings: DataFrame) -> DataFrame:
     return readings.withColumn("reading_day", F.to_date("original_mqtt_time"))
 

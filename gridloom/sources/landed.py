@@ -151,6 +151,16 @@ def read_archive(
     )
 
 
+def archive_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Day and location of every archived file, from its place; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(path)
+    # Taken as text: the values of partitions would be read as numbers.
+    value = lambda name: F.url_decode(
+        F.replace(F.regexp_extract("path", f"/{name}=([^/]*)/", 1), F.lit("+"), F.lit("%2B"))
+    )
+    return listed.select(*[value(p).alias(p) for p in ARCHIVE_PARTITIONS.names], F.col("length").alias("bytes"))
+
+
 def archived_payload(line):
     """The payload exactly as archived: from its key up to the last field."""
     return F.regexp_extract(

@@ -117,6 +117,8 @@ def test_expiry_reports_first_and_acts_when_told(spark, tmp_path):
     due = archive.retention_candidates(records, as_of, 5)
     got = {(r.day, r.message_count, r.age_days) for r in due.collect()}
     assert got == {("15", 2, 10), ("20", 1, 5)}
+    listed = archive.retention_folders(landed.archive_folders(spark, path), as_of, 5).collect()
+    assert {(r.year, r.month, r.day, r.location, r.age_days) for r in listed} == {(r.year, r.month, r.day, r.location, r.age_days) for r in due.collect()}
     folders = tables.expire_archive(spark, path, due)
     assert folders == [f"{path}/year=2023/month=11/day={d}" for d in (15, 20)]
     assert landed.read_archive(spark, path, "2023-11-01", "2023-11-30").count() == 4
@@ -183,6 +185,42 @@ def test_layout_units(spark, tmp_path):
     assert back.count() == 2 and glob.glob(str(tmp_path / "t/partition_time=2024-03-01-00/*.parquet"))
 
 
+def test_odd_locations_are_listed_as_they_are(spark, tmp_path):
+    rows = [record(i, "D", place, when=DAY) for i, place in enumerate(["007", "a/b", "c+d e", "1e3"])]
+    path = tables.archive_path(str(tmp_path))
+    tables.write_archive(archive.archive_records(routes(spark, *rows), F.col("publish_time")), path)
+    assert {r.location for r in landed.archive_folders(spark, path).collect()} == {"007", "a/b", "c+d e", "1e3"}
+
+
+def test_clustered_files_can_be_skipped(spark, tmp_path):
+    """A filter on two fields, or on either, leaves most files out by their bounds."""
+    rows = spark.range(200_000).selectExpr(
+        "timestamp'2024-03-05 00:00:00' t", "cast(xxhash64(id) % 5000 as int) x", "concat('d', lpad(cast(pmod(xxhash64(id, 1), 3000) as string), 5, '0')) y", "id"
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_clustered(rows, str(tmp_path / "t"), "t", "DAY", ["x", "y"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 200_000 and back.selectExpr("sum(id)", "sum(x)").first() == rows.selectExpr("sum(id)", "sum(x)").first()
+    bounds = back.groupBy(F.input_file_name().alias("f")).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    share = lambda where: bounds.where(where).count() / bounds.count()
+    assert bounds.count() > 40
+    assert share("x0 <= 100 and x1 >= 100 and y0 <= 'd01000' and y1 >= 'd01000'") < 0.1
+    assert share("x0 <= 100 and x1 >= 100") < 0.35 and share("y0 <= 'd01000' and y1 >= 'd01000'") < 0.35
+
+
+def test_clustering_of_odd_rows(spark, tmp_path):
+    rows = spark.sql("select timestamp'2024-03-05' t, cast(null as int) x, 'a' y union all select timestamp'2024-03-06', 1, null")
+    tables.write_clustered(rows, str(tmp_path / "t"), "t", "DAY", ["x", "y"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    key = tables.cluster_key(rows.limit(0), ["x", "y"])
+    assert {r[0] for r in rows.select(key).collect()} == {0}
+
+
 def test_kafka_sink_columns(spark):
     df = spark.sql("select '1' message_id, '{}' payload, map('a', 'x') attributes")
     (row,) = tables.to_kafka(df).collect()

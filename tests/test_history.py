@@ -1,13 +1,16 @@
 """Star, ledger, grid, ranges and rules on cases with known results."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import grid, history, ledger, ranges, rules, usage
+from gridloom.operators import grid, history, joins, ledger, ranges, rules, usage
 from gridloom.schemas import METER_READING
+from gridloom.sinks import tables
+from gridloom.streaming import jobs
 
 DAY = datetime(2024, 1, 1)
 
@@ -22,6 +25,58 @@ def readings(spark, rows):
     return spark.createDataFrame(out, METER_READING)
 
 
+# --- episodes and factors
+
+
+def test_a_load_around_the_limit_is_one_episode(spark):
+    loads = {"L": [10, 40, 55, 45, 70, 70, 30, 60, 10, 40, 45, 10], "M": [55] * 3}
+    rows = [("A", place, DAY + timedelta(minutes=15 * n), float(v)) for place, vs in loads.items() for n, v in enumerate(vs)]
+    rows.append(("A", "M", DAY + timedelta(minutes=15 * 4), 55.0))  # after a silent interval
+    limits = spark.sql("select '*' location_id, 64.0D threshold_kwh")
+    got = sorted(tuple(r) for r in usage.alert_episodes(readings(spark, rows), limits).collect())
+    at = lambda n: DAY + timedelta(minutes=15 * n)
+    assert got == [
+        ("L", at(1), at(6), 5, 280.0, 70.0, at(4), True), ("L", at(7), at(8), 1, 60.0, 60.0, at(7), False),
+        ("M", at(0), at(3), 3, 165.0, 55.0, at(0), False), ("M", at(4), at(5), 1, 55.0, 55.0, at(4), False),
+    ]
+
+
+@pytest.mark.parametrize("files", [1, 3, 9])
+def test_streamed_episodes_equal_batch(spark, tmp_path, files):
+    draw = random.Random(8)
+    rows = [("A", draw.choice("LM"), DAY + timedelta(minutes=5 * n), draw.randrange(10, 50) / 1.0) for n in range(400)]
+    given = readings(spark, rows)
+    folder = f"{tmp_path}/in"
+    parts = given.orderBy("original_mqtt_time").collect()
+    for i in range(9):
+        spark.createDataFrame(parts[len(parts) * i // 9 : len(parts) * (i + 1) // 9], METER_READING).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.02)
+    limits = spark.sql("select '*' location_id, 64.0D threshold_kwh")
+    stream = spark.readStream.schema(METER_READING).option("maxFilesPerTrigger", files).parquet(folder).withWatermark("original_mqtt_time", "1 hour")
+    found = usage.alert_episodes(stream, limits)
+    jobs.start(found, tables.batch_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint").awaitTermination()
+    got = {tuple(r) for r in tables.read_batches(spark, f"{tmp_path}/out", found.schema).collect()}
+    whole = {tuple(r) for r in usage.alert_episodes(given, limits).collect()}
+    closed = max(r[2] for r in rows) - timedelta(hours=1, minutes=45)
+    assert got <= whole and {r for r in whole if r[2] <= closed} <= got and len(got) > 5
+
+
+@pytest.mark.parametrize("step", [30, 60 * 24 * 9])
+def test_carried_factors_equal_brute_force(spark, step):
+    draw = random.Random(step)
+    start = [(r, DAY + timedelta(minutes=step * n + draw.randrange(5)), float(n)) for r in "ab" for n in range(40)]
+    start.append(("a", start[0][1], -1.0))  # of two rows of one instant the greater counts
+    facts = [(i, draw.choice(["a", "b", "c", None]), DAY + timedelta(minutes=draw.randrange(-2000, 50 * step))) for i in range(600)]
+    facts += [(1000 + i, r, at) for i, (r, at, _) in enumerate(start)]
+    dim = spark.createDataFrame(start, "region string, valid_from timestamp, factor double")
+    df = spark.createDataFrame(facts, "id int, region string, at timestamp")
+    got = {r.id: r.factor for r in joins.asof_carry(df, dim, ["region"], "at", "valid_from", ["factor"]).collect()}
+    for i, region, at in facts:
+        past = [(t, f) for r, t, f in start if r == region and t <= at]
+        assert got[i] == (max(past)[1] if past else None)
+    assert len(got) == len(facts)
+
+
 # --- star
 
 

@@ -148,26 +148,36 @@ def asof_carry(
     the merge.  For histories too dense or too long to broadcast.
     """
     by, at = list(by), F.col(fact_time)
-    history = dim.groupBy(*by, valid_from).agg(F.max(F.struct(*[F.col(v) for v in values])).alias("_value"))
-    history = history.select(*by, F.col(valid_from).alias("_at"), "_value", F.to_date(valid_from).alias("_day"))
-    ends = history.groupBy(*by).agg(
-        F.min("_day").alias("_first"), F.max("_day").alias("_last"), F.max_by("_value", "_at").alias("_final")
+    history = dim.select(*by, F.col(valid_from).alias("_at"), F.struct(*[F.col(v) for v in values]).alias("_value"))
+    # Everything about the history comes out of one ordering of it.
+    last_of_equals = F.lead("_at").over(Window.partitionBy(*by).orderBy("_at", "_value"))
+    history = history.withColumn("_next", last_of_equals).where(F.col("_next").isNull() | (F.col("_next") > F.col("_at")))
+    order = Window.partitionBy(*by).orderBy("_at")
+    history = history.select(
+        *by,
+        "_at",
+        "_value",
+        F.to_date("_at").alias("_day"),
+        F.lag("_value").over(order).alias("_before"),
+        F.date_add(F.to_date(F.lag("_at").over(order)), 1).alias("_from"),
+        F.lead("_at").over(order).isNull().alias("_ends"),
     )
-    # A day's carried row has the last value of the days before.
-    days = ends.select(*by, F.explode(F.sequence("_first", "_last")).alias("_day"))
-    closing = history.groupBy(*by, "_day").agg(F.max_by("_value", "_at").alias("_closing"))
-    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.join(closing, [*by, "_day"], "left").select(
-        *by, F.col("_day").cast("timestamp").alias("_at"), F.last("_closing", ignorenulls=True).over(before).alias("_value"), "_day"
+    ends = history.where("_ends").select(*by, F.col("_day").alias("_last"), F.col("_value").alias("_final"))
+    # A change is a row, and so is the beginning of every day since the change before it.
+    days = F.when(F.col("_from") <= F.col("_day"), F.sequence("_from", "_day"))
+    own = F.array(F.struct(F.col("_at"), F.col("_day"), F.col("_value"), F.lit(1).alias("_kind")))
+    carried = F.transform(
+        F.coalesce(days, F.array().cast("array<date>")),
+        lambda d: F.struct(d.cast("timestamp").alias("_at"), d.alias("_day"), F.col("_before").alias("_value"), F.lit(0).alias("_kind")),
     )
+    changes = history.select(*by, F.inline(F.concat(own, carried)))
     row = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
     merged = (
         facts.select(*by, at.alias("_at"), F.to_date(at).alias("_day"), row.alias("_row"), F.lit(2).alias("_kind"))
-        .unionByName(history.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+        .unionByName(changes, allowMissingColumns=True)
     )
     inside = Window.partitionBy(*by, "_day").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     found = merged.withColumn("_value", F.last("_value", ignorenulls=True).over(inside)).where("_kind = 2")
-    found = lookup_join(found, ends.drop("_first"), by, ["_at"], fits=fits_broadcast(dim))
+    found = lookup_join(found, ends, by, ["_at"], fits=fits_broadcast(dim))
     value = F.when(F.col("_day") > F.col("_last"), F.col("_final")).otherwise(F.col("_value"))
     return found.select("_row.*", *[value[v].alias(v) for v in values])

@@ -1,9 +1,11 @@
 """Extraction from pages whose main text is known."""
 
 import html as markup
+import math
 import random
 import re
 import time
+from html.parser import HTMLParser
 
 import pyarrow as pa
 import pytest
@@ -200,3 +202,80 @@ def test_long_broken_pages_end(name):
 def test_unclosed_quotes_end_at_the_next_end():
     assert sitetree.main_text('<p>a</p><p title="x>b</p><p>c</p>', "h", set()) == "a\n\nb\n\nc"
     assert sitetree.main_text("<p title='x>y'>b</p>", "h", set()) == "b"
+
+
+class Twin(HTMLParser):
+    """Blocks with the path around them, and each path's children, of a well-formed page."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.path, self.blocks, self.shapes = (), [], {(): []}
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        style = ".".join([tag, *sorted((dict(attrs).get("class") or "").split())])
+        children = self.shapes.setdefault(self.path, [])
+        if children[-1:] != [style]:
+            children.append(style)
+        self.path += (style,)
+        self.shapes.setdefault(self.path, [])
+
+    def handle_endtag(self, tag):
+        self.path = self.path[:-1]
+
+    def handle_data(self, data):
+        if data.strip():
+            self.blocks.append((self.path, " ".join(data.split())))
+
+
+def twin_texts(pages):
+    """Main texts by the definitions: trees merged, entropies reckoned page by page, low branches left out."""
+    trees = [Twin(page) for page in pages]
+    seen, shapes, contents = {}, {}, {}
+    for number, tree in enumerate(trees):
+        for path, text in tree.blocks:
+            seen.setdefault(path, set()).add(number)
+            shapes.setdefault(path, {}).setdefault(tuple(tree.shapes[path]), set()).add(number)
+            contents.setdefault(path, {}).setdefault(text, set()).add(number)
+
+    def entropy(features, pages):
+        if pages == 1:
+            return 1.0
+        sizes = [len(own) for own in features.values()]
+        mean = sum(n * math.log(pages / n) for n in sizes) / sum(sizes)
+        return min(1.0, mean / math.log(min(pages, sitetree.FEW_PAGES)))
+
+    low = set()
+    for path, pages_of in seen.items():
+        presentation, content = (entropy(x[path], len(pages_of)) for x in (shapes, contents))
+        inner = any(style for shape in shapes[path] for style in shape)
+        importance = max((presentation + content) / 2, content) if inner else content
+        if len(pages_of) >= sitetree.MIN_PAGES and importance < sitetree.LOW:
+            low.add(path)
+    return ["\n\n".join(text for path, text in tree.blocks if path not in low) for tree in trees], low
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_style_tree_decides_where_nothing_is_declared(spark, seed):
+    """No article and no telling name: the tree alone parts template from text, as a plain version does."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    notes = [" ".join(word() for _ in range(6)) for _ in range(3)]
+
+    def page(n):
+        own = "".join(f"<p>{' '.join(word() for _ in range(20 + n % 3))}</p>" for _ in range(draw.randrange(1, 5)))
+        odd = f"<div class='q{draw.randrange(9)}'><p>{word()} {word()}</p></div>" if draw.random() < 0.4 else ""
+        return (
+            f"<html><body><div class='a'><p>{notes[0]}</p><p>{draw.choice(notes)}</p></div>"
+            f"<div class='b'><div class='c'><h1>{word()} {word()}</h1>{own}</div><div class='d'>{draw.choice(notes)}</div></div>{odd}"
+            f"<div class='e'><ul><li>{notes[1]}</li><li>{notes[2]}</li></ul>{notes[0]}</div></body></html>"
+        )
+
+    pages = [page(n) for n in range(60)]
+    rows = [(n, "http://one.example/x", text) for n, text in enumerate(pages)]
+    got = sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    found = {r.page_id: r.text for r in got.collect()}
+    want, low = twin_texts(pages)
+    assert [found[n] for n in range(len(pages))] == want
+    assert len(low) >= 3  # branches that only the tree removes
+    assert all(note not in text for note in notes for text in want) and all(text.count("\n\n") for text in want)

@@ -67,6 +67,21 @@ def compliance_report(daily: DataFrame, first_day: str, last_day: str) -> DataFr
     )
 
 
+def factors_used(daily: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Each place's factors as rows, with the days on which they were used and the energy.
+
+    The rows behind a compliance report, however many factors it has; energy
+    without a factor is a row without one.
+    """
+    in_period = daily.where(F.col("day").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+    return in_period.groupBy("region", "location_id", "factor").agg(
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+        F.sum("kwh").alias("kwh"),
+        F.sum("co2e_kg").alias("co2e_kg"),
+    )
+
+
 def target_progress(daily: DataFrame, targets: DataFrame) -> DataFrame:
     """Emissions so far in the month, per location and day, against the month's target.
 

@@ -135,6 +135,10 @@ def compliance_report(m: Meter) -> DataFrame:
     return emissions.compliance_report(_daily_emissions(m), "2024-01-01", "2024-01-31")
 
 
+def factors_used(m: Meter) -> DataFrame:
+    return emissions.factors_used(_daily_emissions(m), "2024-01-01", "2024-01-31")
+
+
 def adjusted_usage(m: Meter) -> DataFrame:
     return usage.adjusted_usage(m.readings, parameters.adjustments(m.table("events")))
 
@@ -261,6 +265,7 @@ QUERIES = [
     co2e,
     co2e_trend,
     compliance_report,
+    factors_used,
     adjusted_usage,
     target_progress,
     cost_co2e_corr,

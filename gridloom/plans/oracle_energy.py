@@ -181,6 +181,11 @@ _SELECTS: dict[str, tuple[str, str]] = {
          coalesce(string_agg(distinct factor::varchar, ',' order by factor::varchar), '') factors_used
          from emitted where "day" between date '2024-01-01' and date '2024-01-31' group by rollup(location_id, device_category)""",
     ),
+    "factors_used": (
+        EMISSIONS,
+        """select p.region::varchar region, location_id, factor, min("day") first_day, max("day") last_day, sum(kwh) kwh, sum(co2e_kg) co2e_kg
+         from emitted left join places p using (location_id) where "day" between date '2024-01-01' and date '2024-01-31' group by 1, 2, 3""",
+    ),
     "adjusted_usage": (
         ENERGY,
         """select device_eui, "day", sum(metered) metered_kwh, sum(adj) adjustment_kwh, sum(n)::bigint n_adjustments,

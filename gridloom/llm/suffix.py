@@ -20,19 +20,22 @@ sorts them together:
 * common prefixes of adjacent starts are compared, again by eight bytes.
 
 A gram with more than ``HOT`` contexts (a passage that very many texts share,
-each with another neighbourhood) would make one large task.  Its starts are
-counted by two independent 64-bit numbers of their 200 bytes instead, which Spark
-sums before it shuffles.  Contexts are told apart by 128 bits of hash.
+each with another neighbourhood) would make one large task.  One copy of each of
+its contexts is cut anew by the least gram of the next length in ``GRAMS``: equal
+strings share that one too, and the longer it is the fewer neighbourhoods it has.
+A gram of 200 bytes is the string itself, so the last length leaves none crowded.
+Contexts are told apart by 128 bits of hash.
 
 Null text counts as empty.  Texts under 200 bytes lose nothing.  Rows are told
 apart even if their doc_id is null or repeated; repeated rows repeat each other.
-An empty table gives an empty result.
+An empty table gives an empty result.  Further columns, whatever their names, do
+not matter to ``removed_bytes`` and are passed on by ``without_repeats``.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +44,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridloom.llm.common import Scratch, keyed, table, utf8
 
 SPAN = 200
-GRAM = 40
-WINDOW = SPAN - GRAM + 1
-#: A gram with more different contexts than this is settled by counts.
-HOT = 5000
+#: Lengths of the grams that route; each one deals what is crowded under the one before.
+GRAMS = (40, 100, 160, SPAN)
+#: A gram with more different contexts than this is crowded.
+HOT = 1000
 #: Bytes hashed at a time, and sorted at a time.
 BLOCK = 1 << 20
 CHUNK = 4 << 20
@@ -88,26 +91,27 @@ def _roll(seed: int) -> _Roll:
     return _rolls[seed]
 
 
-def contexts(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+def contexts(text: np.ndarray, ends: np.ndarray, gram: int = GRAMS[0]) -> tuple[np.ndarray, ...]:
     """Contexts of concatenated texts: gram number, context number, first start, starts.
 
-    ``ends`` holds for every byte the end of the text that it belongs to.
+    ``ends`` holds for every byte the end of the text that it belongs to, ``gram``
+    is the length of the grams.
     """
     count = len(text) - SPAN + 1
     if count <= 0:
         return (np.empty(0, np.int64),) * 4
     roll = _roll(1)
     sums = roll.sums(text)
-    grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * roll.down[: len(text) - GRAM + 1])
+    grams = _mixed((sums[gram:] - sums[:-gram]) * roll.down[: len(text) - gram + 1])
     # The upper bits choose, the lower ones hold the place; the first of equals wins.
     places = np.arange(len(grams), dtype=np.uint64)
     least = (grams & ~_U(0xFFFFFF)) | places
-    width = 1
-    while width * 2 <= WINDOW:
+    window, width = SPAN - gram + 1, 1
+    while width * 2 <= window:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    if width < WINDOW:
-        least = np.minimum(least[: len(least) - (WINDOW - width)], least[WINDOW - width :])
+    if width < window:
+        least = np.minimum(least[: len(least) - (window - width)], least[window - width :])
     place = (least[:count] & _U(0xFFFFFF)).astype(np.int64)
     starts = np.arange(count)
     whole = starts + SPAN <= ends[:count]
@@ -125,53 +129,59 @@ def contexts(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[place].view(np.int64), _mixed(number ^ _mixed(shape)).view(np.int64), first, size
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts in blocks: bytes, text ends, row of each byte's text, offset of the block in it.
+def _blocks(pieces: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pieces (key, place in the text, bytes) in blocks.
 
-    Short texts share a block; a long one is cut into blocks that overlap by 199
-    bytes, so every start is in exactly one.
+    A block has its bytes and for every byte the end of its piece, its key, the
+    place of its piece, and what leads from the block to the text.  Short pieces
+    share a block; a long one is cut into blocks that overlap by 199 bytes, so
+    every start is in exactly one.
     """
-    rows, pieces, size = [], [], 0
+    held: list[tuple[int, int, int, bytes]] = []
+    size = 0
 
-    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        lengths = np.array([len(p) for p, _ in pieces])
+    def joined() -> tuple[np.ndarray, ...]:
+        lengths = np.array([len(part) for *_, part in held])
+        begins = np.cumsum(lengths) - lengths
+        key, at, lo = (np.array([row[i] for row in held], dtype=np.int64) for i in range(3))
         return (
-            np.frombuffer(b"".join(p for p, _ in pieces), dtype=np.uint8),
-            np.repeat(np.cumsum(lengths), lengths),
-            np.repeat(np.array(rows), lengths),
-            np.repeat(np.array([at for _, at in pieces]) - (np.cumsum(lengths) - lengths), lengths),
+            np.frombuffer(b"".join(part for *_, part in held), dtype=np.uint8),
+            *(np.repeat(value, lengths) for value in (begins + lengths, key, at, lo - begins)),
         )
 
-    for row, text in enumerate(utf8(batch.column("text"))):
-        if len(text) < SPAN:
-            continue
-        for at in range(0, len(text) - SPAN + 1, BLOCK):
-            piece = text[at : at + BLOCK + SPAN - 1]
-            if size + len(piece) > BLOCK + SPAN:
+    for key, at, piece in pieces:
+        for lo in range(0, len(piece) - SPAN + 1, BLOCK):
+            part = piece[lo : lo + BLOCK + SPAN - 1]
+            if size + len(part) > BLOCK + SPAN:
                 yield joined()
-                rows, pieces, size = [], [], 0
-            rows.append(row)
-            pieces.append((piece, at))
-            size += len(piece)
-    if pieces:
+                held, size = [], 0
+            held.append((key, at, at + lo, part))
+            size += len(part)
+    if held:
         yield joined()
 
 
-def _anchors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in rows:
-        keys = batch.column("_key").to_numpy()
-        for text, ends, row, shift in _blocks(batch):
-            gram, number, first, size = contexts(text, ends)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(gram),
-                    pa.array(number),
-                    pa.array(keys[row[first]]),
-                    pa.array((first + shift[first]).astype(np.int64)),
-                    pa.array(size.astype(np.int32)),
-                ],
-                ["gram", "context", "_key", "lo", "n"],
-            )
+def _anchors(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Contexts by grams of this length, from rows of _key, at and text."""
+
+    def anchors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            places = (batch.column(name).to_pylist() for name in ("_key", "at"))
+            for text, ends, key, at, shift in _blocks(zip(*places, utf8(batch.column("text")), strict=True)):
+                route, number, first, size = contexts(text, ends, gram)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(route),
+                        pa.array(number),
+                        pa.array(key[first]),
+                        pa.array(at[first]),
+                        pa.array(first + shift[first]),
+                        pa.array(size.astype(np.int32)),
+                    ],
+                    ["gram", "context", "_key", "at", "lo", "n"],
+                )
+
+    return anchors
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -313,57 +323,41 @@ def _repeats(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[int, int, bytes]] = []
     size, last = 0, None
     for batch in rows:
-        columns = [batch.column(name).to_pylist() for name in ("gram", "_key", "lo", "piece")]
-        for gram, key, lo, piece in zip(*columns, strict=True):
+        columns = [batch.column(name).to_pylist() for name in ("gram", "_key", "at", "piece")]
+        for gram, key, at, piece in zip(*columns, strict=True):
             if size >= CHUNK and gram != last:
                 yield _sort_chunk(held)
                 held, size = [], 0
-            held.append((key, lo, piece))
+            held.append((key, at, piece))
             size += len(piece)
             last = gram
     if held:
         yield _sort_chunk(held)
 
 
-def _pieces(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each context that has to be sorted."""
-    for batch in rows:
-        out: list[tuple] = []
-        size = 0
-        for key, text, cuts in zip(
-            batch.column("_key").to_pylist(), utf8(batch.column("text")), batch.column("cuts").to_pylist(), strict=True
-        ):
-            for cut in cuts:
-                if cut["sort"] and not cut["hot"]:
-                    piece = text[cut["lo"] : cut["lo"] + cut["n"] - 1 + SPAN]
-                    out.append((cut["gram"], key, cut["lo"], piece))
-                    size += len(piece)
-            if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["gram", "_key", "lo", "piece"])
-                out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["gram", "_key", "lo", "piece"])
+def _pieces(crowded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The bytes of each context that has to be told from others, crowded ones or the rest."""
 
+    def pieces(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["gram", "_key", "at", "piece"]
+        for batch in rows:
+            out: list[tuple] = []
+            size = 0
+            columns = [batch.column(name).to_pylist() for name in ("_key", "at", "cuts")]
+            for key, at, cuts, text in zip(*columns, utf8(batch.column("text")), strict=True):
+                for cut in cuts:
+                    if cut["sort"] and cut["crowded"] == crowded:
+                        begin = cut["lo"] - at
+                        piece = text[begin : begin + cut["n"] - 1 + SPAN]
+                        out.append((cut["gram"], key, cut["lo"], piece))
+                        size += len(piece)
+                if size > 8 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
 
-def _hot_starts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two numbers of the 200 bytes at each start of the contexts of hot grams."""
-    for batch in rows:
-        for key, text, cuts in zip(
-            batch.column("_key").to_pylist(), utf8(batch.column("text")), batch.column("cuts").to_pylist(), strict=True
-        ):
-            for cut in cuts:
-                if not (cut["sort"] and cut["hot"]):
-                    continue
-                piece = np.frombuffer(text[cut["lo"] : cut["lo"] + cut["n"] - 1 + SPAN], dtype=np.uint8)
-                at = np.arange(cut["n"])
-                numbers = []
-                for seed in (1, 2):
-                    roll = _roll(seed)
-                    numbers.append(_mixed(roll.number(roll.sums(piece), at, at + SPAN)).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[0]), pa.array(numbers[1]), pa.array(np.full(len(at), key)), pa.array(cut["lo"] + at)],
-                    ["a", "b", "_key", "lo"],
-                )
+    return pieces
 
 
 def covered(runs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -398,16 +392,13 @@ def _cut_out(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
 
 
-def repeated_passages(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """The documents (_key, _row), and what repeats in those that lose bytes or might.
+_PIECES = "gram long, _key long, at long, piece binary"
 
-    The second table has _key, n_removed, n_spans, kept_sha256 and ``kept``, the
-    remaining bytes as text without characters that were cut in two.
-    """
-    rows = keyed(docs, scratch)
-    texts = rows.select("_key", F.col("_row.text").alias("text"))
+
+def _told_apart(texts: DataFrame, scratch: Scratch, gram: int, hot: int | None) -> tuple[DataFrame, bool]:
+    """Texts (_key, at, text) with the cuts that repeat or might, and whether a gram is crowded."""
     anchors = scratch.settle(
-        texts.mapInArrow(_anchors, "gram long, context long, _key long, lo long, n int")
+        texts.mapInArrow(_anchors(gram), "gram long, context long, _key long, at long, lo long, n int")
     )
     # Written before they are joined: a join whose sides are read straight from a
     # shuffle can be split where a gram is hot.
@@ -422,37 +413,64 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> tupl
         )
     )
     numbers = scratch.settle(kinds.groupBy("gram").agg(F.count("*").alias("kinds")))
+    many = F.lit(False) if hot is None else F.col("kinds") > hot
     cuts = (
         shared.join(kinds, ["gram", "context"])
         .join(numbers, "gram")
         .select(
             "_key",
+            "at",
             "gram",
             "lo",
             "n",
             (F.col("copies") > 1).alias("whole"),
             # one copy of each different context is sorted
             ((F.col("kinds") > 1) & (F.col("shown") == F.struct("_key", "lo"))).alias("sort"),
-            (F.col("kinds") > hot).alias("hot"),
+            many.alias("crowded"),
         )
         .where("whole or sort")
     )
-    by_text = cuts.groupBy("_key").agg(F.collect_list(F.struct("gram", "lo", "n", "whole", "sort", "hot")).alias("cuts"))
-    held = scratch.settle(texts.join(by_text, "_key"))
-    scratch.drop(shared, kinds, numbers)
-    pieces = held.where("exists(cuts, c -> c.sort and not c.hot)").mapInArrow(
-        _pieces, "gram long, _key long, lo long, piece binary"
+    by_text = cuts.groupBy("_key", "at").agg(
+        F.collect_list(F.struct("gram", "lo", "n", "whole", "sort", "crowded")).alias("cuts")
     )
+    held = scratch.settle(texts.join(by_text, ["_key", "at"]))
+    crowded = bool(numbers.where(many).take(1))
+    scratch.drop(shared, kinds, numbers)
+    return held, crowded
+
+
+def repeated_passages(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """The documents (_key, _row), and what repeats in those that lose bytes or might.
+
+    The second table has _key, n_removed, n_spans, kept_sha256 and ``kept``, the
+    remaining bytes as text without characters that were cut in two.
+    """
+    rows = keyed(docs, scratch)
+    texts = rows.select("_key", F.lit(0).cast("long").alias("at"), F.col("_row.text").alias("text"))
+    held, crowded = _told_apart(texts, scratch, GRAMS[0], hot)
+    whole = held
+    sortable = held.where("exists(cuts, c -> c.sort and not c.crowded)").mapInArrow(_pieces(False), _PIECES)
+    deeper = []
+    for gram in GRAMS[1:]:
+        if not crowded:
+            break
+        some = held.where("exists(cuts, c -> c.sort and c.crowded)")
+        texts = scratch.settle(
+            some.mapInArrow(_pieces(True), _PIECES).select("_key", "at", F.col("piece").alias("text"))
+        )
+        held, crowded = _told_apart(texts, scratch, gram, hot if gram < GRAMS[-1] else None)
+        scratch.drop(texts)
+        sortable = sortable.unionByName(held.mapInArrow(_pieces(False), _PIECES))
+        deeper.append(held.select("_key", F.inline("cuts")).where("whole").select("_key", "lo", "n"))
     runs = (
-        pieces.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeats, "_key long, lo long, n int")
+        sortable.repartition("gram")
+        .sortWithinPartitions("gram")
+        .mapInArrow(_repeats, "_key long, lo long, n int")
     )
-    crowded = held.where("exists(cuts, c -> c.sort and c.hot)")
-    if crowded.select("_key").take(1):
-        starts = scratch.settle(crowded.mapInArrow(_hot_starts, "a long, b long, _key long, lo long"))
-        more = starts.groupBy("a", "b").agg(F.count("*").alias("c")).where("c > 1")
-        runs = runs.unionByName(starts.join(more, ["a", "b"], "left_semi").select("_key", "lo", F.lit(1).alias("n")))
+    for more in deeper:
+        runs = runs.unionByName(more)
     found = runs.groupBy("_key").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
-    lost = held.join(found, "_key", "left").mapInArrow(
+    lost = whole.join(found, "_key", "left").mapInArrow(
         _cut_out, "_key long, n_removed long, n_spans long, kept_sha256 string, kept string"
     )
     return rows, lost

@@ -72,13 +72,38 @@ def test_null_and_repeated_ids(spark):
     assert result(spark, []) == []
 
 
-def test_crowded_grams_give_the_same(spark):
-    texts = passages(5)
+def crowds(seed):
+    """Passages of 60 to 330 bytes in many texts, each time with other neighbours."""
+    draw = random.Random(seed)
+    alphabet = "abcdefghijklmnopqrstuvwxyz é"
+    text = lambda n: "".join(draw.choice(alphabet) for _ in range(n))
+    shared = [text(n) for n in (60, 110, 150, 170, 190, 199, 200, 240, 330)]
+    texts = [text(draw.randrange(210)) + passage + text(draw.randrange(210)) for passage in shared for _ in range(25)]
+    # Some neighbours are alike for a few bytes on one side.
+    texts += [text(30) + "ab" * 15 + passage + "ba" * draw.randrange(9, 12) + text(90) for passage in shared for _ in range(9)]
+    return texts + texts[::11]
+
+
+@pytest.mark.parametrize("hot", [1, 3, 20, 5000])
+@pytest.mark.parametrize("texts", [passages(5), crowds(2)], ids=["passages", "crowds"])
+def test_crowded_grams_give_the_same(spark, texts, hot):
     rows = [(i, t, "k", 1) for i, t in enumerate(texts)]
     want = {i: row[1:] for i, row in enumerate(plain(texts)) if row[1]}
-    for hot in (1, 5000):
-        got = result(spark, rows, hot)
-        assert {k: v for k, v in got.items() if v[0]} == want
+    got = result(spark, rows, hot)
+    assert {k: v for k, v in got.items() if v[0]} == want
+
+
+@pytest.mark.parametrize("gram", suffix.GRAMS)
+def test_equal_strings_share_their_gram(gram):
+    texts = [t.encode() for t in crowds(3)[::6] if len(t.encode()) >= 200]
+    lengths = np.array([len(t) for t in texts])
+    joined = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    routes, _, first, size = suffix.contexts(joined, np.repeat(np.cumsum(lengths), lengths), gram)
+    assert size.sum() == (lengths - 199).sum()
+    seen = {}
+    for route, lo, n in zip(routes, first, size, strict=True):
+        for p in range(lo, lo + n):
+            assert seen.setdefault(joined[p : p + 200].tobytes(), route) == route
 
 
 def test_long_texts_are_cut_into_blocks(spark, monkeypatch):

@@ -18,6 +18,8 @@ documents.
 Null texts have no words.  Items without words never match.  A null item_id
 marks words but is not listed or counted; repeated items count once.  Repeated
 documents are each returned.  Empty tables give empty or uncontaminated results.
+Further columns, whatever their names, are passed on by ``clean_documents`` and not
+read otherwise.
 """
 
 from __future__ import annotations

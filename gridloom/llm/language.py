@@ -15,7 +15,7 @@ nothing.  Prediction reads every whole text and nothing but the text.
 Null texts and texts without a letter are ``und`` with score 0, as is everything
 if no document has a language.  Rows with a null doc_id are predicted but neither
 learned from nor held out.  Repeated rows are each predicted.  An empty table
-gives an empty result.
+gives an empty result.  Further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

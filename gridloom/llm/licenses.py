@@ -16,7 +16,8 @@ number is fixed.
 
 Null and empty texts have no matches.  A document without matches has zero
 counts and an empty list.  Null ids and repeated rows are returned as they are.
-An empty table gives an empty result.
+An empty table gives an empty result.  Further columns, whatever their names, are not
+read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ packed again, until there is no gap, or one partition is left, or after
 by exchange between partitions.
 
 Null text counts as empty: one end token.  A null doc_id is kept.  Repeated rows
-are packed each for itself.  An empty table gives an empty result.
+are packed each for itself.  An empty table gives an empty result.  Only doc_id and
+text are read; further columns, whatever their names, are not.
 """
 
 from __future__ import annotations

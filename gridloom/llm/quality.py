@@ -18,7 +18,8 @@ A clean document of any host that is not blocked is kept.
 
 Null and empty texts have no words and fail the first base rule.  A null source
 is a host like any other.  Repeated rows count, and are returned, each for
-itself.  An empty table gives an empty result.
+itself.  An empty table gives an empty result.  Further columns, whatever their names,
+are passed on by ``kept_documents`` and not read otherwise.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ jumping, each round a written table.
 Null text counts as empty; texts without words have fingerprint zero and are
 linked like any other.  Rows with a null doc_id are fingerprinted and linked but
 never name a component; a component of such rows alone has a null component_id.
-Repeated rows give repeated rows.  An empty table gives an empty result.
+Repeated rows give repeated rows.  An empty table gives an empty result.  Further
+columns, whatever their names, are passed on by ``one_of_each`` and not read otherwise.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ turned into one blank, blocks in page order with an empty line between.
 
 Null and empty html give an empty text; a null or odd url belongs to the host
 without a name.  Repeated pages are each returned.  An empty table gives an empty
-result.
+result.  Further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

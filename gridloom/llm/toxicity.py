@@ -26,7 +26,8 @@ Null text counts as empty and is scored as one empty window.  Labels without a
 document, null labels and null ids are not learned from; of several labels of one
 document the highest counts.  Without documents of both classes in either half every
 score is 0.
-Repeated rows are each scored.  An empty table gives an empty result.
+Repeated rows are each scored.  An empty table gives an empty result.  Further columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -7,6 +7,8 @@ a bad message.  Here one bad field fails the whole message.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
@@ -14,6 +16,8 @@ from gridloom.functions.once import add_once
 from gridloom.functions.times import is_rfc3339_sql, unless_zero_sql
 
 _CHECK = "gridloom:whole"
+#: Drawn anew in each process, so no message can have been written to hold it.
+_MARK = secrets.randbits(62)
 _OPTIONS = (
     "map('columnNameOfCorruptRecord', '_corrupt',"
     " 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
@@ -23,25 +27,25 @@ _OPTIONS = (
 def parse_whole(df: DataFrame, text: str, schema: StructType, into: str) -> DataFrame:
     """Add ``into``: the parsed object, or NULL where the text is not acceptable.
 
-    The text becomes the middle one of three array items; the others carry the
-    text's own hash.  Both are read back only if the text was exactly one JSON
+    The text becomes the middle one of three array items; the others carry a mark
+    that no text knows.  Both are read back only if the text was exactly one JSON
     value: text that closes the array and opens another one under the same key
     loses the first item, and text after the object adds items.  All this is
     noticed in the same, single parse.  Strings and times are read as variants,
     which keep the kind of the value.
     """
     fields = ", ".join(f"`{f.name}` {_wire_type(f.dataType)}" for f in schema.fields)
-    mark = f"'{{\"{_CHECK}\":' || xxhash64(`{text}`) || '}}'"
+    mark = f'{{"{_CHECK}":{_MARK}}}'
     wrapped = (
-        f"from_json('{{\"items\":[' || {mark} || ',' || `{text}` || ',' || {mark} || ']}}',"
+        f"from_json('{{\"items\":[{mark},' || `{text}` || ',{mark}]}}',"
         f" 'items array<struct<{fields}, `{_CHECK}` bigint>>, _corrupt string', {_OPTIONS})"
     )
     df = df.withColumn("_json", F.expr(wrapped)).withColumns(
         {
             "_one": F.expr(
                 f"_json._corrupt is null and size(_json.items) = 3"
-                f" and _json.items[0].`{_CHECK}` <=> xxhash64(`{text}`)"
-                f" and _json.items[2].`{_CHECK}` <=> xxhash64(`{text}`)"
+                f" and _json.items[0].`{_CHECK}` <=> {_MARK}L"
+                f" and _json.items[2].`{_CHECK}` <=> {_MARK}L"
             ),
             "_item": F.expr("_json.items[1]"),
         }

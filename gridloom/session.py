@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,7 @@ CLUSTER_SETTINGS = {
 }
 
 _local_root: str | None = None
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def build(master: str | None = None, app: str = "gridloom", **conf: str) -> SparkSession:
@@ -57,7 +61,30 @@ def shared_root(spark: SparkSession) -> str:
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder below the shared root."""
-    return f"{shared_root(spark)}/gridloom/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/gridloom/{purpose}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def owned_folders(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove at the end of the block every folder that was named inside it.
+
+    Results read tables that were written on their way; build and store such a result
+    inside the block, and nothing of it stays behind, even if the block fails.  What is
+    used longer, as a registry snapshot, is made before it.  Blocks may be nested.
+    Threads started inside, as those of a stream, keep their folders.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield paths
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Packing: ids against the library, whole documents, certified bin counts."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -28,6 +29,39 @@ def test_ids_equal_the_library():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
 
 
+def test_cuts_equal_the_rule():
+    """Joined texts are cut as the rule cuts each of them."""
+    letters, numbers, spaces = tokens.LETTERS, tokens.NUMBERS, tokens.SPACES
+    rule = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+"
+        f"| ?[^{spaces}{letters}{numbers}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+    )
+    draw = random.Random(4)
+    chars = [chr(c) for c in range(tokens.PLAIN)] + list(" \n\x85\xa0''strevmlldS1²é.") * 30
+    for _ in range(2000):
+        texts = ["".join(draw.choices(chars, k=draw.randrange(12))) for _ in range(6)] + ["x"]
+        edges = np.cumsum([0, *(len(text.encode()) for text in texts)])
+        joined = "".join(texts).encode()
+        begins = tokens.cuts(np.frombuffer(joined, np.uint8), edges[:-1][np.diff(edges) > 0])
+        got = [joined[a:b].decode() for a, b in zip(begins, [*begins[1:], None], strict=True)]
+        assert got == [part for text in texts for part in rule.findall(text)]
+
+
+def test_each_different_pre_token_is_looked_up_once(monkeypatch):
+    asked = []
+    learned = tokens.Known.learned
+
+    def counted(self, parts, find):
+        known = learned(self, parts, find)
+        return lambda part: asked.append(part) or known(part)
+
+    monkeypatch.setattr(tokens.Known, "learned", counted)
+    texts = ["the same few words, " * 500] * 20 + ["", "漢字"]
+    got = tokens.ByteLevel("byte_bpe_50k.json").ids(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == library_ids(texts)
+    assert len(asked) == len(set(asked)) <= 7
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_bounds_hold(seed):
     draw = random.Random(seed)
